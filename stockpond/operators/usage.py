@@ -102,7 +102,7 @@ def compare_tags(runs: DataFrame, tags: list[str], by: str = "query_type") -> Da
         runs.where(F.col("query_tag").isin(tags))
         .groupBy(by)
         .pivot("query_tag", tags)
-        .agg(F.count("*").alias("runs"), F.sum("total_elapsed_time").alias("elapsed"))
+        .agg(F.count("query_id").alias("runs"), F.sum("total_elapsed_time").alias("elapsed"))
     )
 
 

@@ -13,22 +13,23 @@ F1_DROP_ALERT = 0.05
 EMPTY_BIN = 1e-6
 
 
-def quantile_edges(reference: DataFrame, column: str, bins: int = 10, accuracy: int = 100_000) -> Column:
-    """Inner bin edges at equal shares of the reference, as a one-value subquery."""
+def quantile_edges(reference: DataFrame, column: str, bins: int = 10, accuracy: int = 100_000) -> list[Column]:
+    """Inner bin edges at equal shares of the reference, from one subquery."""
     shares = [i / bins for i in range(1, bins)]
-    return reference.agg(F.array_distinct(F.approx_percentile(column, shares, accuracy)).alias("edges")).scalar()
+    edges = reference.agg(F.approx_percentile(column, shares, accuracy).alias("edges")).scalar()
+    return [F.get(edges, i) for i in range(bins - 1)]
 
 
-def equal_edges(low: float, high: float, bins: int = 10) -> Column:
-    return F.array(*[F.lit(low + (high - low) * i / bins) for i in range(1, bins)])
+def equal_edges(low: float, high: float, bins: int = 10) -> list[Column]:
+    return [F.lit(low + (high - low) * i / bins) for i in range(1, bins)]
 
 
-def bin_of(value: Column, edges: Column) -> Column:
-    """Number of edges below the value: 0 for the first bin."""
-    return F.size(F.filter(edges, lambda e: e < value))
+def bin_of(value: Column, edges: list[Column]) -> Column:
+    """Number of edges below the value: 0 for the first bin. Equal edges leave bins empty."""
+    return sum((F.when(edge < value, 1).otherwise(0) for edge in edges), F.lit(0))
 
 
-def binned_shares(reference: DataFrame, live: DataFrame, column: str, edges: Column) -> DataFrame:
+def binned_shares(reference: DataFrame, live: DataFrame, column: str, edges: list[Column]) -> DataFrame:
     """Share of reference and of live rows per bin."""
     both = reference.select(column, F.lit(1).alias("_ref")).unionByName(live.select(column, F.lit(0).alias("_ref")))
     counted = (

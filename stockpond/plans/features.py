@@ -90,19 +90,23 @@ def standard_scale(df: DataFrame, columns: dict[str, str], fitted_on: DataFrame
     return df.select(*[c for c in df.columns if c not in columns], *[scaled(c).alias(o) for c, o in columns.items()])
 
 
-def feature_table(events: DataFrame, hot_share: float = HOT_SHARE, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """(customer_id, ts, features), one row per customer and time.
+def first_per_time(encoded: DataFrame) -> DataFrame:
+    """One feature row per customer and time.
 
     Orders at the same time share the features of the first of them: those are the only
     ones that contain none of these orders.
     """
-    features = prior_order_features(events, hot_share, hot_rows)
-    vocabulary = fit_ordinal(features, "prior_priority")
-    encoded = transform_ordinal(features, vocabulary, "prior_priority", "priority_ordinal")
     first = F.min_by(F.struct(*FEATURES), "order_id").alias("_first")
     return encoded.groupBy("customer_id", "ts").agg(first).select("customer_id", "ts", "_first.*")
 
 
+def feature_table(events: DataFrame, hot_share: float = HOT_SHARE, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """(customer_id, ts, features), one row per customer and time."""
+    features = materialize(prior_order_features(events, hot_share, hot_rows), "prior-features")
+    vocabulary = fit_ordinal(features, "prior_priority")
+    return first_per_time(transform_ordinal(features, vocabulary, "prior_priority", "priority_ordinal"))
+
+
 def labels(events: DataFrame) -> DataFrame:
     return events.select("customer_id", "order_id", "ts", "is_fulfilled")
 
@@ -113,10 +117,11 @@ def training_set(events: DataFrame, features: DataFrame) -> DataFrame:
 
 
 def write_feature_view(view: DataFrame, root: str, name: str, version: int, mode: str = "overwrite") -> str:
-    """Store a version of a feature view, in folders by day."""
+    """Store a version of a feature view, in folders by month and sorted by customer."""
     path = f"{root}/features/{name}/v={version}"
-    by_day = view.withColumn("feature_day", F.to_date("ts")).repartitionByRange("feature_day", "customer_id")
-    by_day.write.mode(mode).partitionBy("feature_day").parquet(path)
+    by_month = view.withColumn("feature_month", F.trunc(F.to_date("ts"), "MONTH"))
+    placed = by_month.repartitionByRange("feature_month", "customer_id").sortWithinPartitions("feature_month", "customer_id", "ts")
+    placed.write.mode(mode).partitionBy("feature_month").parquet(path)
     return path
 
 
@@ -125,11 +130,13 @@ def read_feature_view(spark: SparkSession, root: str, name: str, version: int) -
 
 
 def last_feature_day(spark: SparkSession, root: str, name: str, version: int):
-    """The newest stored day, None for an empty or missing view; reads folder names only."""
+    """The newest stored day, None for a missing view; reads the last folder only."""
     try:
-        return read_feature_view(spark, root, name, version).agg(F.max("feature_day")).first()[0]
+        view = read_feature_view(spark, root, name, version)
     except AnalysisException:
         return None
+    last_month = view.agg(F.max("feature_month")).first()[0]
+    return view.where(F.col("feature_month") == F.lit(last_month)).agg(F.max(F.to_date("ts"))).first()[0]
 
 
 def refresh_feature_view(events: DataFrame, compute, root: str, name: str, version: int) -> str:
