@@ -249,7 +249,7 @@ def series_extent(spark, sf_dir):
 
 @query("complete_calendar", f"WITH {SERIES_SQL} SELECT ts, y FROM series")
 def complete_calendar(spark, sf_dir):
-    return forecast.complete_calendar(revenue_series(spark, sf_dir).withColumn("s", F.lit(0)), ["s"]).select("ts", "y")
+    return forecast.complete_calendar(revenue_series(spark, sf_dir))
 
 
 @query(

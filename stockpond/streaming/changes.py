@@ -43,7 +43,7 @@ def stream_apply(
 
 
 def current_state(base: DataFrame, log_dir: str, key: list[str], order_by: list[str]) -> DataFrame:
-    """The base with all collected changes applied; the later batch wins for a key."""
+    """The base with all collected changes applied; the greatest ``order_by`` wins, however late it came."""
     spark = base.sparkSession
     schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in base.schema)}, {ACTION} string, {IS_UPDATE} boolean"
     extra = [c for c in order_by if c not in base.columns]
@@ -52,7 +52,7 @@ def current_state(base: DataFrame, log_dir: str, key: list[str], order_by: list[
         log = spark.read.schema(f"{schema}, _batch_id bigint").parquet(f"{log_dir}")
     except AnalysisException:
         return base
-    latest = keep_latest(log, key, ["_batch_id", *order_by])
+    latest = keep_latest(log, key, [*order_by, "_batch_id"])
     return apply_changes(base, latest, key)
 
 
