@@ -95,42 +95,48 @@ def json_typeof(spark, sf_dir):
 KEY = ["order_id"]
 VERSION_DAYS = ["2026-01-01", "2026-01-02", "2026-01-03"]
 
-# v1: every tenth order deleted, the next one 100 dearer, the one after under a new key.
-# v2: the fourth of ten gets 50 on top and changes its priority.
-VERSIONS_SQL = """
+# v1: cancelled low-priority orders are deleted, fulfilled urgent ones get 100 dearer, open
+# high-priority ones move to a new key. v2: open medium ones become urgent and 50 dearer.
+DELETED = "status = 'P' AND priority = '5-LOW'"
+DEARER = "status = 'F' AND priority = '1-URGENT'"
+MOVED = "status = 'O' AND priority = '2-HIGH'"
+RAISED = "status = 'O' AND priority = '3-MEDIUM'"
+NEW_KEYS = 1_000_000_000_000
+
+VERSIONS_SQL = f"""
 v0 AS (
-  SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderpriority AS priority,
+  SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderstatus AS status, o_orderpriority AS priority,
          CAST(o_totalprice AS DECIMAL(18,2)) AS price FROM orders),
 v1 AS (
-  SELECT CASE WHEN order_id % 10 = 2 THEN order_id + 1000000000 ELSE order_id END AS order_id, customer_id, priority,
-         CASE WHEN order_id % 10 = 1 THEN price + 100 ELSE price END AS price
-  FROM v0 WHERE order_id % 10 <> 0),
+  SELECT CASE WHEN {MOVED} THEN order_id + {NEW_KEYS} ELSE order_id END AS order_id, customer_id, status, priority,
+         CASE WHEN {DEARER} THEN price + 100 ELSE price END AS price
+  FROM v0 WHERE NOT ({DELETED})),
 v2 AS (
-  SELECT order_id, customer_id, CASE WHEN order_id % 10 = 3 THEN '1-URGENT' ELSE priority END AS priority,
-         CASE WHEN order_id % 10 = 3 THEN price + 50 ELSE price END AS price FROM v1)"""
+  SELECT order_id, customer_id, status, CASE WHEN {RAISED} THEN '1-URGENT' ELSE priority END AS priority,
+         CASE WHEN {RAISED} THEN price + 50 ELSE price END AS price FROM v1)"""
 
-PLAIN_SQL = "order_id, customer_id, priority, CAST(price AS DOUBLE) AS price"
+PLAIN_SQL = "order_id, customer_id, status, priority, CAST(price AS DOUBLE) AS price"
 
 
 def version_0(spark, sf_dir):
     return read_table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
+        F.col("o_orderstatus").alias("status"),
         F.col("o_orderpriority").alias("priority"),
         F.col("o_totalprice").cast("decimal(18,2)").alias("price"),
     )
 
 
 def version_1(v0):
-    slot = F.col("order_id") % 10
-    kept = changes.delete_where(v0, slot == 0)
-    dearer = changes.update_where(kept, slot == 1, {"price": F.col("price") + 100})
-    return changes.update_where(dearer, slot == 2, {"order_id": F.col("order_id") + 1_000_000_000})
+    kept = changes.delete_where(v0, F.expr(DELETED))
+    dearer = changes.update_where(kept, F.expr(DEARER), {"price": F.col("price") + 100})
+    return changes.update_where(dearer, F.expr(MOVED), {"order_id": F.col("order_id") + NEW_KEYS})
 
 
 def version_2(v1):
     return changes.update_where(
-        v1, F.col("order_id") % 10 == 3, {"price": F.col("price") + 50, "priority": F.lit("1-URGENT")}
+        v1, F.expr(RAISED), {"price": F.col("price") + 50, "priority": F.lit("1-URGENT")}
     )
 
 
@@ -150,13 +156,11 @@ def change_log(spark, sf_dir):
     return materialize(entries[0].unionByName(entries[1]).unionByName(entries[2]), "change-log")
 
 
-FEED_SQL = """
+FEED_SQL = f"""
 feed AS (
-  SELECT order_id, customer_id, priority, price, 'DELETE' AS _action, order_id % 10 = 1 AS _is_update
-  FROM v0 WHERE order_id % 10 IN (0, 1, 2)
+  SELECT *, 'DELETE' AS _action, {DEARER} AS _is_update FROM v0 WHERE ({DELETED}) OR ({DEARER}) OR ({MOVED})
   UNION ALL
-  SELECT order_id, customer_id, priority, price, 'INSERT', order_id % 10 = 1
-  FROM v1 WHERE order_id % 10 = 1 OR order_id >= 1000000000)"""
+  SELECT *, 'INSERT', {DEARER} FROM v1 WHERE ({DEARER}) OR ({MOVED}))"""
 
 
 @query(
@@ -186,7 +190,7 @@ def merge_apply(spark, sf_dir):
 
 @query(
     "upsert_merge",
-    f"""WITH {VERSIONS_SQL}, source AS (SELECT * FROM v1 WHERE order_id % 10 = 1 OR order_id >= 1000000000)
+    f"""WITH {VERSIONS_SQL}, source AS (SELECT * FROM v1 WHERE ({DEARER}) OR ({MOVED}))
     SELECT {PLAIN_SQL} FROM source
     UNION ALL SELECT {PLAIN_SQL} FROM v0 WHERE order_id NOT IN (SELECT order_id FROM source)""",
 )
@@ -266,18 +270,22 @@ def state_after_drop(spark, sf_dir):
     return history.state_before(dropped, KEY, 4).agg(F.count("*").alias("live_rows"))
 
 
+SOUTHERN = "status = 'O' AND priority = '4-NOT SPECIFIED'"
+HIDDEN = "status = 'F' AND priority = '5-LOW'"
+
+
 @query(
     "overlay_clone",
     f"""WITH {VERSIONS_SQL}
-    SELECT 'clone' AS side, order_id, customer_id, CASE WHEN order_id % 10 = 4 THEN 'SOUTH' ELSE priority END AS priority,
-           CAST(price AS DOUBLE) AS price FROM v1 WHERE order_id % 10 <> 5
+    SELECT 'clone' AS side, order_id, customer_id, status, CASE WHEN {SOUTHERN} THEN 'SOUTH' ELSE priority END AS priority,
+           CAST(price AS DOUBLE) AS price FROM v1 WHERE NOT ({HIDDEN})
     UNION ALL SELECT 'base', {PLAIN_SQL} FROM v1""",
 )
 def overlay_clone(spark, sf_dir):
     base = version_1(version_0(spark, sf_dir))
-    slot = F.col("order_id") % 10
-    written = changes.update_where(base.where(slot.isin(4, 5)), slot == 4, {"priority": F.lit("SOUTH")})
-    own = written.withColumn(ACTION, F.when(slot == 5, "DELETE").otherwise("INSERT"))
+    southern = F.expr(SOUTHERN)
+    touched = base.where(southern | F.expr(HIDDEN)).withColumn(ACTION, F.when(southern, "INSERT").otherwise("DELETE"))
+    own = changes.update_where(touched, southern, {"priority": F.lit("SOUTH")})
     clone = history.overlay(base, own, KEY)
     return plain(
         clone.select(F.lit("clone").alias("side"), "*").unionByName(base.select(F.lit("base").alias("side"), "*"))
@@ -343,7 +351,7 @@ def layout_report(spark, sf_dir):
 def medallion_gold(spark, sf_dir):
     """Two runs and a repeated one: versions of orders that are already known stay outside."""
     root = scratch_path(spark, "medallion")
-    landing = retail.bronze_orders(spark, sf_dir)
+    landing = materialize(retail.bronze_orders(spark, sf_dir), "landing")
     goods = retail.products(spark, sf_dir)
     ties = retail.VERSION_ORDER[1:]
     early = landing.where(F.col("order_ts") < F.lit("1998-01-01").cast("timestamp_ntz"))

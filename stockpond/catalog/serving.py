@@ -289,5 +289,6 @@ def sql_function_revenue(spark, sf_dir):
 @query("procedure_silver_orders", f"WITH {SILVER_SQL} SELECT * FROM silver")
 def procedure_silver_orders(spark, sf_dir):
     path = scratch_path(spark, "silver-orders")
-    build_silver_table(retail.bronze_orders(spark, sf_dir), path, retail.VERSION_ORDER[1:])
+    bronze = materialize(retail.bronze_orders(spark, sf_dir), "bronze-orders")
+    build_silver_table(bronze, path, retail.VERSION_ORDER[1:])
     return spark.read.parquet(path)

@@ -48,6 +48,11 @@ def day_of(ts: Column) -> Column:
     return F.date_trunc("DAY", ts).cast("timestamp_ntz")
 
 
+def approx_distinct(column: Column | str, log2_size: int = 14) -> Column:
+    """Approximate distinct count from a mergeable sketch, within about 1 % at this size."""
+    return F.coalesce(F.hll_sketch_estimate(F.hll_sketch_agg(column, F.lit(log2_size))), F.lit(0))
+
+
 def preview(text: Column, length: int = 180) -> Column:
     return F.left(text, F.lit(length))
 

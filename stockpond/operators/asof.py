@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stockpond.operators.keyed_scan import HOT_ROWS, HOT_SHARE, keyed_scan, last_known
+from stockpond.session import materialize
 
 
 def asof_join(
@@ -63,7 +64,7 @@ def latest_features(features: DataFrame, key: str, ts: str, feature_columns: lis
 
 def leakage_report(spine: DataFrame, features: DataFrame, key: str, ts: str) -> DataFrame:
     """How many spine rows a plain join on the latest features would feed with later data."""
-    newest = features.groupBy(key).agg(F.max(ts).alias("feature_ts"))
+    newest = materialize(features.groupBy(key).agg(F.max(ts).alias("feature_ts")), "newest-features")
     joined = spine.join(newest, key)
     leaked = F.count_if(F.col("feature_ts") > F.col(ts))
     return joined.agg(

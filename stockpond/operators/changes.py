@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from stockpond.session import materialize
+
 ACTION = "_action"
 IS_UPDATE = "_is_update"
 
@@ -69,9 +71,11 @@ def upsert(target: DataFrame, source: DataFrame, key: list[str]) -> DataFrame:
 def new_rows(source: DataFrame, target: DataFrame, key: list[str]) -> DataFrame:
     """Source rows whose key the target does not have yet.
 
-    A corrected version of a known key is left out, as the ingest rule wants it.
+    A corrected version of a known key is left out, as the ingest rule wants it. The known
+    keys are reduced before the join, so that a key repeated very often costs nothing there.
     """
-    return source.join(target.select(*key), key, "left_anti")
+    known = materialize(target.select(*key).distinct(), "known-keys")
+    return source.join(known, key, "left_anti")
 
 
 def update_where(df: DataFrame, condition: Column, values: dict[str, Column]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from stockpond.functions.scalars import cosine, first_group, search_tokens, try_to_number
-from stockpond.session import materialize
+from stockpond.session import materialize, spread
 
 # The instruction put before the retrieved context, and the empty answer.
 SYSTEM_TEXT = (
@@ -48,7 +48,7 @@ def matched_tokens(docs: DataFrame, tokens: DataFrame) -> DataFrame:
     text. Runs and words meet in an equi-join on the first four characters of the word,
     which works for any number of questions and forms no question-document pairs.
     """
-    words = docs.select(
+    words = spread(docs.select("doc_id", "text")).select(
         "doc_id",
         F.explode(
             F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("([a-z0-9]{4,})"), F.lit(1)))
@@ -76,7 +76,7 @@ def lexical_scores(questions: DataFrame, docs: DataFrame) -> DataFrame:
     The score sums ln((1 + N) / (df + 0.5)) over the matched words, in whole millionths so
     that the order of summation cannot change it.
     """
-    asked = question_tokens(questions)
+    asked = materialize(question_tokens(questions), "question-tokens")
     matches = materialize(matched_tokens(docs, asked), "matched-tokens")
     per_doc = matches.select("doc_id", F.explode("tokens").alias("token"))
     corpus = docs.agg(F.count("*").alias("n")).scalar()
@@ -113,11 +113,28 @@ def hybrid_retrieve(
     question without a vector counts with similarity 0.
     """
     corpus = docs if source is None else docs.where(F.col("source") == source)
-    lexical = lexical_scores(questions.select("question_id", "question"), corpus)
-    with_doc = lexical.join(vectors.select("doc_id", F.col("vector").alias("_doc_vector")), "doc_id", "left")
-    both = with_doc.join(questions.select("question_id", F.col("vector").alias("_question_vector")), "question_id", "left")
-    similarity = F.coalesce(cosine(F.col("_doc_vector"), F.col("_question_vector")), F.lit(0.0))
-    scored = both.select(
+    lexical = materialize(lexical_scores(questions.select("question_id", "question"), corpus), "lexical-scores")
+    # Similarity moves a score by one unit up or down, so whatever lies more than two units
+    # below the k-th best keyword score cannot come back among the best k.
+    floor = (
+        best_k(lexical, k)
+        .groupBy("question_id")
+        .agg(F.when(F.count("*") == k, F.min("score") - 2 * SCORE_UNIT).alias("_floor"))
+    )
+    candidates = materialize(
+        lexical.join(materialize(floor, "score-floor"), "question_id")
+        .where(F.col("_floor").isNull() | (F.col("score") >= F.col("_floor")))
+        .drop("_floor"),
+        "candidates",
+    )
+    asked = questions.select("question_id", F.col("vector").alias("_question_vector"))
+    similar = (
+        vectors.join(candidates.select("question_id", "doc_id"), "doc_id")
+        .join(asked, "question_id")
+        .select("question_id", "doc_id", cosine(F.col("vector"), F.col("_question_vector")).alias("_similarity"))
+    )
+    similarity = F.coalesce("_similarity", F.lit(0.0))
+    scored = candidates.join(similar, ["question_id", "doc_id"], "left").select(
         "question_id", "doc_id", (F.col("score") + F.round(similarity * SCORE_UNIT).cast("bigint")).alias("score")
     )
     return best_k(scored, k)

@@ -150,7 +150,7 @@ def refresh_feature_view(events: DataFrame, compute, root: str, name: str, versi
     if last is None:
         return write_feature_view(compute(events), root, name, version)
     is_new = F.to_date("ts") > F.lit(last)
-    touched = events.where(is_new).select("customer_id").distinct()
+    touched = materialize(events.where(is_new).select("customer_id").distinct(), "touched-customers")
     history = materialize(events.join(touched, "customer_id", "left_semi"), "feature-history")
     return write_feature_view(compute(history).where(is_new), root, name, version, mode="append")
 

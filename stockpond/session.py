@@ -46,16 +46,28 @@ def shared_root(spark: SparkSession) -> str:
     return _LOCAL_ROOTS[context.applicationId]
 
 
+def _session_folder(spark: SparkSession) -> str:
+    return f"{shared_root(spark)}/stockpond/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{shared_root(spark)}/stockpond/{name}-{uuid.uuid4().hex}"
+    return f"{_session_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove what this application wrote below the shared folder, once its results are read."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_session_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` once and read it back.
 
     Later branches then scan a table instead of repeating the work, and the planner knows
-    its size, so a join on it is broadcast only when it really is small.
+    its size, so a join on it is broadcast only when it really is small. Where it is not,
+    the join sees two plain shuffles, which is what lets Spark split hot keys at run time;
+    above an aggregate it would not.
     """
     path = scratch_path(df.sparkSession, name)
     writer = df.write.mode("errorifexists")
@@ -63,3 +75,13 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan of few large splits to all cores before expensive work per row.
+
+    A scan with at least as many splits as cores, the normal case on a cluster, is left
+    alone. Meant for plain scans: asking for the splits of a shuffled result would run it.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

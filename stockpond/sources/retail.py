@@ -74,7 +74,8 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers with the region of their nation."""
     nation = read_table(spark, sf_dir, "nation")
     region = read_table(spark, sf_dir, "region")
-    regions = nation.join(region, nation.n_regionkey == region.r_regionkey)
+    # 25 nations and 5 regions at any scale, hence safe to broadcast.
+    regions = F.broadcast(nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey))
     customer = read_table(spark, sf_dir, "customer")
     return customer.join(regions, customer.c_nationkey == regions.n_nationkey).select(
         F.col("c_custkey").alias("customer_id"),
@@ -108,7 +109,7 @@ def metering(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A query history: one row per run, some of them still without an elapsed time."""
+    """A query history: one row per run; a failed run has no elapsed time."""
     e = read_table(spark, sf_dir, "events")
     elapsed = F.col("value").cast("decimal(18,2)")
     return e.select(
@@ -118,7 +119,7 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("day0"), (F.col("user_id") % 10).cast("string")).alias("query_tag"),
         F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("user_name"),
         F.concat(F.lit("WH_"), (F.col("user_id") % 3).cast("string")).alias("warehouse_name"),
-        F.when(F.col("event_id") % 13 != 0, elapsed).alias("total_elapsed_time"),
+        F.when(F.col("event_type") != "error", elapsed).alias("total_elapsed_time"),
         (elapsed * 1000).cast("bigint").alias("bytes_scanned"),
         F.col("ts").alias("start_time"),
     )
