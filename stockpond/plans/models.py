@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
 from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stockpond.operators.ordering import hash_bucket
@@ -67,35 +69,37 @@ def grid_search(
     grid: dict[str, list] | None = None,
     folds: int = 3,
     seed: int = 42,
-    parallelism: int = 4,
-) -> CrossValidatorModel:
-    """Cross-validated search for the best F1; folds follow a hash of the key."""
+    parallelism: int = 8,
+) -> tuple[PipelineModel, DataFrame]:
+    """Cross-validated search for the best F1: the model refitted on all rows, and the scores.
+
+    Folds follow a hash of the key. Fits run ``parallelism`` at a time, each from a thread of
+    its own; MLlib's own search shares one set of job properties between its threads, which
+    makes concurrent fits fail now and then.
+    """
     pipeline = forest(features, label, seed=seed)
     classifier = pipeline.getStages()[-1]
     builder = ParamGridBuilder()
-    for name, values in (grid or GRID).items():
-        builder = builder.addGrid(classifier.getParam(name), values)
-    search = CrossValidator(
-        estimator=pipeline,
-        estimatorParamMaps=builder.build(),
-        evaluator=f1_evaluator(label),
-        numFolds=folds,
-        foldCol="_fold",
-        parallelism=parallelism,
-    )
-    return search.fit(train.withColumn("_fold", hash_bucket(*fold_key, buckets=folds).cast("int")))
-
-
-def grid_results(search: CrossValidatorModel) -> DataFrame:
-    """One row per parameter combination with its mean F1, best first."""
-    rows = [
-        (*[int(v) for _, v in sorted((p.name, v) for p, v in params.items())], float(score))
-        for params, score in zip(search.getEstimatorParamMaps(), search.avgMetrics)
-    ]
-    names = sorted(p.name for p in search.getEstimatorParamMaps()[0])
+    names = list(grid or GRID)
+    for name in names:
+        builder = builder.addGrid(classifier.getParam(name), (grid or GRID)[name])
+    combinations = builder.build()
+    folded = train.withColumn("_fold", hash_bucket(*fold_key, buckets=folds).cast("int")).persist()
+
+    def score(task: tuple[int, int]) -> float:
+        combination, fold = task
+        fitted = pipeline.fit(folded.where(F.col("_fold") != fold), combinations[combination])
+        return f1_of(fitted.transform(folded.where(F.col("_fold") == fold)), label).first()[0] or 0.0
+
+    tasks = [(c, f) for c in range(len(combinations)) for f in range(folds)]
+    with ThreadPool(parallelism) as pool:
+        scores = pool.map(score, tasks, chunksize=1)
+    means = [sum(scores[c * folds : (c + 1) * folds]) / folds for c in range(len(combinations))]
+    best = pipeline.fit(folded, combinations[means.index(max(means))])
+    folded.unpersist()
+    rows = [(*[int(p[classifier.getParam(n)]) for n in names], m) for p, m in zip(combinations, means)]
     schema = ", ".join(f"{n} int" for n in names) + ", f1 double"
-    spark = SparkSession.getActiveSession()
-    return spark.createDataFrame(rows, schema).orderBy(F.desc("f1"), *names)
+    return best, train.sparkSession.createDataFrame(rows, schema).orderBy(F.desc("f1"), *names)
 
 
 def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:

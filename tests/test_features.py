@@ -269,9 +269,9 @@ def test_f1_matches_the_evaluator(spark):
 
 
 def test_search(labelled):
-    search = models.grid_search(labelled, ["x", "z"], "y", ["id"], {"numTrees": [2, 5], "maxDepth": [1, 3]}, folds=3)
-    results = models.grid_results(search)
+    best, results = models.grid_search(labelled, ["x", "z"], "y", ["id"], {"numTrees": [2, 5], "maxDepth": [1, 3]}, folds=3)
     assert results.count() == 4 and results.first().f1 == pytest.approx(1.0)
+    assert models.f1_of(best.transform(labelled), "y").first().f1 == pytest.approx(1.0)
 
 
 def test_registry(spark, labelled):
