@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stockpond.operators.keyed_scan import HOT_ROWS, HOT_SHARE, keyed_scan, last_known
+from stockpond.operators.keyed_scan import HOT_ROWS, keyed_scan, last_known
 from stockpond.session import materialize
 
 
@@ -15,7 +15,6 @@ def asof_join(
     ts: str,
     feature_columns: list[str],
     chunk: Column | None = None,
-    hot_share: float = HOT_SHARE,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Every spine row with the latest features of its key whose time is not later.
@@ -46,7 +45,6 @@ def asof_join(
         [ts, "_side"],
         F.to_date(ts) if chunk is None else chunk,
         [last_known("_known", "_features")],
-        hot_share,
         hot_rows,
     )
     return scanned.where("_side = 1").select(

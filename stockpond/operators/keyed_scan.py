@@ -1,9 +1,9 @@
 """Running results per key that survive a hot key.
 
-A window ``partitionBy(key)`` puts a whole key into one task. Here keys holding more than
-``hot_share`` of all rows are cut into time chunks first: each chunk is scanned on its own
-and the result carried over from the chunks before it is added with a join. Keys below the
-share keep a single chunk, so for them the plan is the plain window.
+A window ``partitionBy(key)`` puts a whole key into one task. Here the keys holding most rows
+are looked up first. They are cut into time chunks: each chunk is scanned on its own and the
+result carried over from the chunks before it is added with a join. All other keys keep a
+single chunk, and without a hot key the plan is the plain window.
 """
 
 from __future__ import annotations
@@ -13,8 +13,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-HOT_SHARE = 1 / 65536
 HOT_ROWS = 1_000_000
+MOST_HOT_KEYS = 1000
+TRACKED_KEYS = 20_000
+
+
+def _same(value: Column) -> Column:
+    return value
 
 
 @dataclass(frozen=True)
@@ -26,6 +31,7 @@ class Running:
     total: Callable[[Column], Column]
     carry: Callable[[Column, WindowSpec], Column]
     combine: Callable[[Column, Column], Column]
+    finish: Callable[[Column], Column] = _same
 
 
 def _before(w: WindowSpec) -> WindowSpec:
@@ -78,7 +84,8 @@ def previous_value(name: str, value: str) -> Running:
         lambda w: F.lag(F.struct(value)).over(w),
         lambda order: F.max_by(F.struct(value), order),
         lambda total, w: F.lag(total).over(w),
-        lambda local, carried: F.coalesce(local, carried)[value],
+        F.coalesce,
+        lambda row: row[value],
     )
 
 
@@ -105,11 +112,16 @@ def key_minimum(name: str, value: str) -> Running:
     )
 
 
-def hot_keys(df: DataFrame, keys: list[str], hot_share: float = HOT_SHARE, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``hot_share`` of all rows: never more than ``1 / hot_share`` of them."""
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    share = df.agg((F.count("*") * F.lit(hot_share)).alias("share")).scalar()
-    return counts.where(F.col("_rows") > F.greatest(share, F.lit(float(hot_rows)))).select(*keys)
+def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> list[int]:
+    """Hashes of the keys with at least ``hot_rows`` rows, at most ``MOST_HOT_KEYS`` of them.
+
+    One pass over the key columns into a small sketch per task, without shuffling keys. Every
+    key with more than about 1 / 5,000 of the rows is seen, so one that stays whole holds
+    no more than a thousandth. Which keys are split never changes a result.
+    """
+    names = ", ".join(f"`{k}`" for k in keys)
+    sketch = F.expr(f"approx_top_k(xxhash64({names}), {MOST_HOT_KEYS}, {TRACKED_KEYS})")
+    return [item["item"] for item in df.agg(sketch.alias("top")).first()["top"] if item["count"] >= hot_rows]
 
 
 def keyed_scan(
@@ -118,21 +130,27 @@ def keyed_scan(
     order_by: list[str],
     chunk: Column,
     columns: list[Running],
-    hot_share: float = HOT_SHARE,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add running columns per key in ascending ``order_by``.
 
     ``chunk`` is a date that never decreases along ``order_by`` (the day or month of its
-    first column). ``df`` is read three times, so pass a table, not a long lineage. Rows
+    first column). ``df`` is read more than once, so pass a table, not a long lineage. Rows
     with a NULL key are kept as one unsplit key.
     """
-    # At most 1 / hot_share rows, hence safe to broadcast whatever the size of df.
-    hot = F.broadcast(hot_keys(df, keys, hot_share, hot_rows).withColumn("_hot", F.lit(True)))
+    names = {c.name for c in columns}
+    kept = [c for c in df.columns if c not in names]
+    hot = hot_keys(df, keys, hot_rows)
+    if not hot:
+        whole = Window.partitionBy(*keys).orderBy(*order_by)
+        scanned = df.withColumns({f"_l{i}": c.local(whole) for i, c in enumerate(columns)})
+        return scanned.select(*kept, *[c.finish(F.col(f"_l{i}")).alias(c.name) for i, c in enumerate(columns)])
+
+    is_hot = F.xxhash64(*keys).isin(hot)
+    for k in keys:
+        is_hot = is_hot & F.col(k).isNotNull()
     first_day = F.lit("0001-01-01").cast("date")
-    tagged = df.join(hot, keys, "left").withColumn(
-        "_chunk", F.when(F.col("_hot"), F.coalesce(chunk.cast("date"), first_day))
-    ).drop("_hot")
+    tagged = df.withColumn("_chunk", F.when(is_hot, F.coalesce(chunk.cast("date"), first_day)))
 
     in_chunk = Window.partitionBy(*keys, "_chunk").orderBy(*order_by)
     scanned = tagged.withColumns({f"_l{i}": c.local(in_chunk) for i, c in enumerate(columns)})
@@ -147,6 +165,10 @@ def keyed_scan(
     carried = totals.select(
         *keys, "_chunk", *[c.carry(F.col(f"_t{i}"), chunks_of_key).alias(f"_c{i}") for i, c in enumerate(columns)]
     )
-    combined = {c.name: c.combine(F.col(f"_l{i}"), F.col(f"_c{i}")) for i, c in enumerate(columns)}
     joined = scanned.join(carried, [*keys, "_chunk"], "left")
-    return joined.select(*[c for c in df.columns if c not in combined], *[v.alias(n) for n, v in combined.items()])
+    types = {f.name: f.dataType for f in scanned.schema.fields}
+    combined = [
+        c.finish(c.combine(F.col(f"_l{i}"), F.col(f"_c{i}")).cast(types[f"_l{i}"])).alias(c.name)
+        for i, c in enumerate(columns)
+    ]
+    return joined.select(*kept, *combined)

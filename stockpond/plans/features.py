@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from stockpond.operators.asof import asof_join
 from stockpond.operators.keyed_scan import (
     HOT_ROWS,
-    HOT_SHARE,
     key_minimum,
     keyed_scan,
     previous_value,
@@ -23,7 +22,7 @@ NO_PRIORITY = "NONE"
 FEATURES = ["log_prior_spend", "days_since_first_order", "priority_ordinal"]
 
 
-def prior_order_features(events: DataFrame, hot_share: float = HOT_SHARE, hot_rows: int = HOT_ROWS) -> DataFrame:
+def prior_order_features(events: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Per order, what was known about the customer before it."""
     scanned = keyed_scan(
         events,
@@ -35,7 +34,6 @@ def prior_order_features(events: DataFrame, hot_share: float = HOT_SHARE, hot_ro
             key_minimum("first_ts", "ts"),
             previous_value("prior_priority", "order_priority"),
         ],
-        hot_share,
         hot_rows,
     )
     spend = F.coalesce(F.col("prior_spend").cast("double"), F.lit(0.0))
@@ -100,9 +98,9 @@ def first_per_time(encoded: DataFrame) -> DataFrame:
     return encoded.groupBy("customer_id", "ts").agg(first).select("customer_id", "ts", "_first.*")
 
 
-def feature_table(events: DataFrame, hot_share: float = HOT_SHARE, hot_rows: int = HOT_ROWS) -> DataFrame:
+def feature_table(events: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """(customer_id, ts, features), one row per customer and time."""
-    features = materialize(prior_order_features(events, hot_share, hot_rows), "prior-features")
+    features = materialize(prior_order_features(events, hot_rows), "prior-features")
     vocabulary = fit_ordinal(features, "prior_priority")
     return first_per_time(transform_ordinal(features, vocabulary, "prior_priority", "priority_ordinal"))
 

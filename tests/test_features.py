@@ -63,16 +63,17 @@ def test_keyed_scan_equals_plain_windows(spark, seed, hot_rows):
             last_known("known", "v"),
             key_minimum("first", "ts"),
         ],
-        hot_share=0.05,
         hot_rows=hot_rows,
     )
     assert sorted(got.select(expected.columns).collect(), key=lambda r: r.id) == sorted(expected.collect(), key=lambda r: r.id)
 
 
 def test_only_big_keys_are_hot(spark):
-    df = spark.createDataFrame([(1,)] * 50 + [(2,)] * 10 + [(3,)], "k int")
-    assert [r.k for r in hot_keys(df, ["k"], 0.5, 5).collect()] == [1]
-    assert hot_keys(df, ["k"], 0.0, 100).count() == 0
+    df = spark.createDataFrame([(1,)] * 50 + [(2,)] * 10 + [(3,), (None,)], "k int")
+    one = df.select(F.xxhash64(F.lit(1)).alias("h")).first().h
+    assert hot_keys(df, ["k"], 20) == [one]
+    assert hot_keys(df, ["k"], 100) == []
+    assert hot_keys(df.where("k > 5"), ["k"], 1) == []
 
 
 def frames(spark, seed):
@@ -88,7 +89,7 @@ def frames(spark, seed):
 def test_asof_against_merge_asof(spark, seed, hot_rows):
     feats, spine = frames(spark, seed)
     as_ntz = lambda pdf: spark.createDataFrame(pdf).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
-    got = asof_join(as_ntz(spine), as_ntz(feats), "k", "ts", ["f"], hot_share=0.01, hot_rows=hot_rows).toPandas()
+    got = asof_join(as_ntz(spine), as_ntz(feats), "k", "ts", ["f"], hot_rows=hot_rows).toPandas()
     expected = pd.merge_asof(spine.sort_values("ts"), feats.sort_values("ts"), on="ts", by="k")
     merged = got.merge(expected, on="label", suffixes=("", "_expected"))
     assert len(got) == len(spine) == len(merged)
