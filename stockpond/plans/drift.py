@@ -13,11 +13,18 @@ F1_DROP_ALERT = 0.05
 EMPTY_BIN = 1e-6
 
 
-def quantile_edges(reference: DataFrame, column: str, bins: int = 10, accuracy: int = 100_000) -> list[Column]:
-    """Inner bin edges at equal shares of the reference, from one subquery."""
-    shares = [i / bins for i in range(1, bins)]
-    edges = reference.agg(F.approx_percentile(column, shares, accuracy).alias("edges")).scalar()
-    return [F.get(edges, i) for i in range(bins - 1)]
+def quantile_edges(reference: DataFrame, column: str, bins: int = 10) -> list[Column]:
+    """Inner bin edges at equal shares of the reference, exact, as literals.
+
+    Edge i is the smallest value with at least i / bins of the rows up to it. The values are
+    counted and sorted in ranges, which no task or sketch has to hold as a whole.
+    """
+    values = reference.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("_rows"))
+    running = global_running_sums(values, [column], {"_upto": "_rows"})
+    rows = reference.agg(F.count(column).alias("rows")).scalar()
+    edges = [F.min(F.when(F.col("_upto") * bins >= rows * i, F.col(column))).alias(f"e{i}") for i in range(1, bins)]
+    # One number per bin comes to the driver.
+    return [F.lit(edge) for edge in running.agg(*edges).first()]
 
 
 def equal_edges(low: float, high: float, bins: int = 10) -> list[Column]:

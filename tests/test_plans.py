@@ -34,9 +34,22 @@ def test_no_pairing_of_all_rows(spark, sf_dir, name):
     assert "BroadcastNestedLoopJoin" not in text
     assert not re.search(r"PythonUDF|BatchEvalPython", text)
     if name not in SMALL_WINDOWS:
-        for line in text.splitlines():
-            if re.match(r"[\s:+\-*()\d]*Window \[", line):
-                assert not re.search(r"\], \[[^\]]*\](, \[\])?$", line) or "[], [" not in line
+        assert not windows_in_one_task(text)
+
+
+def windows_in_one_task(text):
+    """Window nodes fed, below their sort, by an exchange into a single partition."""
+    lines = text.splitlines()
+    below = [" ".join(lines[i + 1 : i + 4]) for i, line in enumerate(lines) if re.match(r"[\s:+\-*()\d]*Window \[", line)]
+    return [b for b in below if "Exchange SinglePartition" in b]
+
+
+def test_one_task_windows_are_recognised(spark):
+    from pyspark.sql import Window
+
+    one = spark.range(5).withColumn("n", F.row_number().over(Window.orderBy("id")))
+    many = spark.range(5).withColumn("n", F.row_number().over(Window.partitionBy("id").orderBy("id")))
+    assert windows_in_one_task(plan(one)) and not windows_in_one_task(plan(many))
 
 
 def test_versions_are_reduced_before_the_shuffle(spark, sf_dir):
