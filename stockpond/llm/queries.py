@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from stockpond.llm import bpe, gray_index, quality
+from stockpond.llm import bpe, decontaminate, gray_index, quality
 from stockpond.llm.registry import query
 from stockpond.sources.tables import read_table
 
@@ -37,3 +37,9 @@ def digests(encoded):
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op9_window_leaks")
+def window_leaks(spark, sf_dir):
+    found = decontaminate.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.groupBy("doc_id", "item_id").agg(F.count("*").alias("n_windows"), F.max("similarity").alias("similarity"))
