@@ -5,11 +5,39 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from stockpond.llm import bpe, decontaminate, gray_index, quality
+from stockpond.llm import bpe, decontaminate, gray_index, line_templates, quality
 from stockpond.llm.registry import query
 from stockpond.sources.tables import read_table
 
 
+@query(
+    "op3_line_templates",
+    r"""WITH lines AS (
+  SELECT doc_id, CAST(generate_subscripts(string_split(text, chr(10)), 1) AS BIGINT) AS pos, unnest(string_split(text, chr(10))) AS line FROM documents),
+cut AS (
+  SELECT doc_id, pos, list_filter(string_split_regex(regexp_replace(line, '[^ \t\x0B\f\r]*[0-9][^ \t\x0B\f\r]*', '<*>', 'g'), '[ \t\x0B\f\r]+'), lambda t: t <> '') AS tokens FROM lines),
+long AS (SELECT doc_id, pos, tokens, len(tokens) AS n, [CAST(len(tokens) AS VARCHAR), tokens[1], tokens[2], tokens[3]] AS leaf FROM cut WHERE len(tokens) >= 5),
+fields AS (SELECT doc_id, pos, leaf, n, generate_subscripts(tokens, 1) AS place, unnest(tokens) AS token FROM long),
+common AS (SELECT leaf, place, token FROM fields WHERE place > 3 GROUP BY leaf, place, token HAVING COUNT(*) >= 20),
+templates AS (
+  SELECT doc_id, pos, f.leaf, n, COUNT(c.token) + 3 AS kept,
+         string_agg(CASE WHEN c.token IS NULL THEN '' ELSE CAST(place AS VARCHAR) || ' ' || f.token END, '|' ORDER BY place) AS pattern
+  FROM fields f LEFT JOIN common c USING (leaf, place, token) GROUP BY doc_id, pos, f.leaf, n),
+good AS (SELECT doc_id, pos, leaf, pattern FROM templates WHERE kept * 10 >= n * 7),
+recurring AS (SELECT leaf, pattern, MIN(doc_id) AS first_doc FROM good GROUP BY leaf, pattern HAVING COUNT(DISTINCT doc_id) >= 20),
+gone AS (SELECT doc_id, pos FROM good JOIN recurring USING (leaf, pattern) WHERE doc_id <> first_doc),
+kept AS (
+  SELECT doc_id, COUNT(*) AS n_lines, COUNT(g.pos) AS n_dropped, string_agg(CASE WHEN g.pos IS NULL THEN line END, chr(10) ORDER BY pos) AS text
+  FROM lines LEFT JOIN gone g USING (doc_id, pos) GROUP BY doc_id)
+SELECT d.doc_id, CAST(COALESCE(n_lines, 0) AS INTEGER) AS n_lines, CAST(COALESCE(n_dropped, 0) AS INTEGER) AS n_dropped,
+       CASE WHEN d.text IS NOT NULL THEN COALESCE(k.text, '') END AS text
+FROM documents d LEFT JOIN kept k USING (doc_id)""",
+)
+def recurring_line_templates(spark, sf_dir):
+    kept = line_templates.without_recurring(read_table(spark, sf_dir, "documents"), lines="n_lines", dropped="n_dropped")
+    return kept.select("doc_id", "n_lines", "n_dropped", "text")
+
+
 @query("op5_quality_ranking")
 def quality_ranking(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
