@@ -5,8 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from stockpond.llm import bpe, decontaminate, gray_index, line_templates, quality
+from stockpond.llm import bpe, decontaminate, fingerprints, gray_index, line_templates, quality, shards
 from stockpond.llm.registry import query
+from stockpond.session import materialize
 from stockpond.sources.tables import read_table
 
 
@@ -38,6 +39,25 @@ def recurring_line_templates(spark, sf_dir):
     return kept.select("doc_id", "n_lines", "n_dropped", "text")
 
 
+@query("op4_permuted_fingerprints")
+def permuted_fingerprints(spark, sf_dir):
+    """Besides the likeness columns, ids divisible by 100 are searched for: how many other documents lie within the radius."""
+    rows = materialize(fingerprints.edited_fingerprints(read_table(spark, sf_dir, "documents")), "edited")
+    copies = materialize(rows.groupBy("fingerprint").agg(F.count("*").alias("copies")), "copies")
+    asked = materialize(rows.where(F.col("doc_id") % 100 == 0).select("fingerprint").distinct(), "asked")
+    found = fingerprints.within_radius(copies, asked).join(copies.withColumnRenamed("fingerprint", "found"), "found")
+    counts = materialize(found.groupBy(F.col("asked").alias("fingerprint")).agg((F.sum("copies") - 1).alias("_others")), "within")
+    return rows.join(counts, "fingerprint", "left").select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        *[F.lpad(F.lower(F.hex(c)), 16, "0").alias(c) for c in ("fingerprint", "edited_fingerprint")],
+        "near_edited",
+        "near_next",
+        F.when(F.col("doc_id") % 100 == 0, F.col("_others")).alias("n_within_3"),
+    )
+
+
 @query("op5_quality_ranking")
 def quality_ranking(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
@@ -46,6 +66,12 @@ def quality_ranking(spark, sf_dir):
     return scores.select("doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= quality.CUT).cast("int").alias("predicted"))
 
 
+@query("op6_lpt_shards")
+def lpt_shards(spark, sf_dir):
+    placed = shards.with_shards(read_table(spark, sf_dir, "documents"), 16)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 @query("op7_gray_near_groups")
 def gray_near_groups(spark, sf_dir):
     groups = gray_index.near_groups(read_table(spark, sf_dir, "documents"))
