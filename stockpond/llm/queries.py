@@ -5,12 +5,22 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from stockpond.llm import bpe, decontaminate, fingerprints, gray_index, line_templates, quality, shards
+from stockpond.llm import bpe, decontaminate, fingerprints, gray_index, line_templates, quality, shards, surrogates
 from stockpond.llm.registry import query
 from stockpond.session import materialize
 from stockpond.sources.tables import read_table
 
 
+# Stands for the secret that a caller passes; results repeat only under the same key.
+SURROGATE_KEY = b"stockpond demonstration key"
+
+
+@query("op1_keyed_surrogates")
+def keyed_surrogates(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.with_surrogates(docs, SURROGATE_KEY, replaced="n_replaced")
+
+
 @query(
     "op3_line_templates",
     r"""WITH lines AS (
