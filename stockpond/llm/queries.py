@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from stockpond.llm import bpe, decontaminate, fingerprints, gray_index, line_templates, quality, shards, surrogates
+from stockpond.llm import bpe, decontaminate, fingerprints, gray_index, line_templates, quality, repeats, shards, surrogates
 from stockpond.llm.registry import query
 from stockpond.session import materialize
 from stockpond.sources.tables import read_table
@@ -21,6 +21,12 @@ def keyed_surrogates(spark, sf_dir):
     return surrogates.with_surrogates(docs, SURROGATE_KEY, replaced="n_replaced")
 
 
+@query("op2_prefix_intervals")
+def prefix_intervals(spark, sf_dir):
+    cleaned = repeats.without_repeats(read_table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query(
     "op3_line_templates",
     r"""WITH lines AS (
