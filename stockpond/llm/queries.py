@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from stockpond.llm import bpe, decontaminate, fingerprints, gray_index, line_templates, quality, repeats, shards, surrogates
+from stockpond.llm import bpe, decontaminate, fingerprints, gray_index, line_templates, quality, repeats, shards, surrogates, tool_calls
 from stockpond.llm.registry import query
 from stockpond.session import materialize
 from stockpond.sources.tables import read_table
@@ -113,3 +113,74 @@ def digests(encoded):
 def window_leaks(spark, sf_dir):
     found = decontaminate.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.groupBy("doc_id", "item_id").agg(F.count("*").alias("n_windows"), F.max("similarity").alias("similarity"))
+
+
+TOOLS = [
+    ("lookup", "query", "string", True),
+    ("lookup", "limit", "integer", True),
+    ("lookup", "exact", "boolean", False),
+    ("search", "query", "string", True),
+    ("search", "limit", "integer", True),
+    ("search", "filter", "object", True),
+]
+
+OP8_SQL = r"""
+WITH RECURSIVE asked AS (
+  SELECT conv_id, turn, 'c' || conv_id || '-' || turn AS call_id, CASE WHEN conv_id % 2 = 0 THEN 'lookup' ELSE 'search' END AS name,
+         CAST(to_json(text) AS VARCHAR) AS query, (turn // 4) * 2 + turn % 2 AS parent
+  FROM conversations WHERE role = 'user'),
+leveled AS (
+  SELECT conv_id, turn, 0 AS level FROM asked a
+  WHERE parent = turn OR NOT EXISTS (SELECT 1 FROM asked p WHERE p.conv_id = a.conv_id AND p.turn = a.parent)
+  UNION ALL
+  SELECT a.conv_id, a.turn, l.level + 1 FROM leveled l JOIN asked a ON a.conv_id = l.conv_id AND a.parent = l.turn AND a.parent <> a.turn),
+answers AS (SELECT conv_id, turn - 1 AS turn, COUNT(*) AS n_results, MIN(text) AS content FROM conversations WHERE role = 'assistant' GROUP BY ALL),
+errors AS (
+  SELECT conv_id, turn, list_sort(list_filter([
+      CASE WHEN conv_id % 5 = 0 THEN 'argument limit is no integer' END,
+      CASE WHEN conv_id % 7 = 0 THEN 'missing argument query' END,
+      CASE WHEN conv_id % 11 = 0 THEN 'unknown argument mode' END,
+      CASE WHEN name = 'lookup' AND turn > 3 THEN 'unknown argument filter' END,
+      CASE WHEN name = 'search' AND turn <= 3 THEN 'missing argument filter' END], lambda e: e IS NOT NULL)) AS errors FROM asked)
+SELECT conv_id, call_id, name, ROW_NUMBER() OVER (PARTITION BY conv_id ORDER BY level, call_id) - 1 AS position, CAST(level AS INTEGER) AS level,
+       len(errors) = 0 AS valid, array_to_string(errors, '; ') AS errors, CAST(1 AS BIGINT) AS n_calls, CAST(COALESCE(n_results, 0) AS BIGINT) AS n_results,
+       '{"arguments":{' || CASE WHEN turn > 3 THEN '"filter":{"from":' || turn || ',"words":[1,2.5,"a/b"]},' ELSE '' END
+         || '"limit":' || CASE WHEN conv_id % 5 = 0 THEN '"many"' ELSE CAST(turn * 5 AS VARCHAR) END
+         || CASE WHEN conv_id % 11 = 0 THEN ',"mode":null' ELSE '' END
+         || CASE WHEN conv_id % 7 <> 0 THEN ',"query":' || query ELSE '' END
+         || '},"call_id":"' || call_id || '","conv_id":' || conv_id || ',"name":"' || name || '","result":' || COALESCE(CAST(to_json(content) AS VARCHAR), 'null') || '}' AS record
+FROM asked JOIN leveled USING (conv_id, turn) JOIN errors USING (conv_id, turn) LEFT JOIN answers USING (conv_id, turn)"""
+
+
+def derived_calls(turns):
+    """Each user turn asks a tool, with arguments in no fixed order or spacing; some break the schema. Later turns wait for earlier ones."""
+    conv, turn = F.col("conv_id"), F.col("turn")
+    quoted = F.to_json(F.array("text"))
+    pieces = F.array_compact(
+        F.array(
+            F.when(conv % 7 != 0, F.concat(F.lit('"query" : '), F.substring(quoted, F.lit(2), F.length(quoted) - 2))),
+            F.when(conv % 11 == 0, F.lit('"mode":null')),
+            F.concat(F.lit('"limit": '), F.when(conv % 5 == 0, F.lit('"many"')).otherwise((turn * 5).cast("string"))),
+            F.when(turn > 3, F.concat(F.lit('"filter" :{"words":[1, 2.50,"a\\/b"] , "from": '), turn.cast("string"), F.lit("}"))),
+        )
+    )
+    call_id = lambda t: F.concat(F.lit("c"), conv.cast("string"), F.lit("-"), t.cast("string"))
+    parent = F.floor(turn / 4) * 2 + turn % 2
+    return turns.where("role = 'user'").select(
+        "conv_id",
+        call_id(turn).alias("call_id"),
+        F.when(conv % 2 == 0, "lookup").otherwise("search").alias("name"),
+        F.concat(F.lit("{ "), F.array_join(pieces, " ,"), F.lit(" }")).alias("arguments"),
+        F.when(parent != turn, F.array(call_id(parent))).otherwise(F.array().cast("array<string>")).alias("after"),
+    )
+
+
+@query("op8_tool_call_links", OP8_SQL)
+def tool_call_links(spark, sf_dir):
+    turns = read_table(spark, sf_dir, "conversations")
+    answers = turns.where("role = 'assistant'").select(
+        "conv_id", F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"), (F.col("turn") - 1).cast("string")).alias("call_id"), F.col("text").alias("content")
+    )
+    tools = spark.createDataFrame(TOOLS, "name string, param string, type string, required boolean")
+    rows = tool_calls.linked(derived_calls(turns), answers, tools)
+    return rows.withColumn("errors", F.array_join("errors", "; "))
