@@ -15,6 +15,8 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame, functions as F
 
+from stockpond.llm.native import free_name
+
 NEVER = 1 << 30
 
 # How the public vocabulary splits text into words before it merges bytes.
@@ -183,5 +185,6 @@ def encode_decode(docs: DataFrame, path: str, text: str = "text", ids: str = "id
                 packed += encoder.encode(run)
             yield pd.DataFrame({"ids": packed, "decoded": [encoder.decode(p) for p in packed]})
 
-    made = docs.withColumn("_bpe", both(F.coalesce(F.col(text), F.lit(""))))
-    return made.withColumns({ids: F.col("_bpe.ids"), decoded: F.col("_bpe.decoded")}).drop("_bpe")
+    pair = free_name(docs, "_bpe")
+    made = docs.withColumn(pair, both(F.coalesce(F.col(text), F.lit(""))))
+    return made.withColumns({ids: F.col(f"{pair}.ids"), decoded: F.col(f"{pair}.decoded")}).drop(pair)

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stockpond.llm.native import bit_filter, may_hold, row_digest, signs, votes, with_shingles
+from stockpond.llm.native import bit_filter, free_name, may_hold, row_digest, signs, votes, with_shingles
 from stockpond.session import materialize
 
 SHINGLE = 5
@@ -122,4 +122,5 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str =
 def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` without any window that holds an item; columns and repeated rows stay."""
     held = materialize(leaks(docs, items, id_col, text).select("_digest").distinct(), "leaking")
-    return docs.withColumn("_digest", row_digest(id_col, text)).join(held, "_digest", "left_anti").drop("_digest")
+    name = free_name(docs, "_digest")
+    return docs.withColumn(name, row_digest(id_col, text)).join(held.withColumnRenamed("_digest", name), name, "left_anti").drop(name)

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType
 
 from stockpond.llm.components import connected
+from stockpond.llm.native import free_name, row_digest
 from stockpond.session import materialize
 
 RADIUS = 4
@@ -239,9 +240,10 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text", rad
     The row with the smallest id stays (null after all others); of rows that share this id, the
     one with the smallest digest of id and text; of equal rows, one.
     """
-    digest = F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit("|"), F.coalesce(F.col(text), F.lit(""))))
-    rows = docs.select(F.col(id_col).alias("_id"), digest.alias("_digest"), text_fingerprint(F.col(text)).alias("fingerprint"))
+    rows = docs.select(F.col(id_col).alias("_id"), row_digest(id_col, text).alias("_digest"), text_fingerprint(F.col(text)).alias("fingerprint"))
     ranked = F.struct(F.col("_id").isNull().alias("no_id"), "_id", "_digest")
     first = _grouped(materialize(rows, "fingerprints"), radius).groupBy("label").agg(F.min(ranked).alias("first"))
     chosen = materialize(first.select(F.col("first._digest").alias("_digest")), "chosen")
-    return docs.withColumn("_digest", digest).join(chosen, "_digest", "left_semi").dropDuplicates(["_digest"]).drop("_digest")
+    name = free_name(docs, "_digest")
+    kept = docs.withColumn(name, row_digest(id_col, text)).join(chosen.withColumnRenamed("_digest", name), name, "left_semi")
+    return kept.dropDuplicates([name]).drop(name)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stockpond.llm.native import bit_filter, may_hold, row_digest
+from stockpond.llm.native import bit_filter, free_name, may_hold, row_digest
 from stockpond.session import materialize
 
 FIELD = "<*>"
@@ -91,15 +91,17 @@ def without_recurring(docs: DataFrame, id_col: str = "doc_id", text: str = "text
     if keep_first:
         found = found.where(~F.col("_id").eqNullSafe(F.col("first_doc")))
     # At most as many places as the document has lines.
-    gone = materialize(found.groupBy("_digest").agg(F.collect_set("at").alias("_gone")), "dropped-lines")
-    joined = docs.withColumn("_digest", row_digest(id_col, text)).join(gone, "_digest", "left")
-    kept = F.array_join(F.filter(F.split(text, "\n"), lambda line, at: ~F.array_contains("_gone", at)), "\n")
+    key, places = free_name(docs, "_digest"), free_name(docs, "_gone")
+    gone = materialize(found.groupBy(F.col("_digest").alias(key)).agg(F.collect_set("at").alias(places)), "dropped-lines")
+    joined = docs.withColumn(key, row_digest(id_col, text)).join(gone, key, "left")
+    kept = F.array_join(F.filter(F.split(text, "\n"), lambda line, at: ~F.array_contains(places, at)), "\n")
+    none = F.col(places).isNull()
     out = joined
     if lines:
-        out = out.withColumn(lines, F.coalesce(F.size(F.split(text, "\n")), F.lit(0)))
+        out = out.withColumn(lines, F.when(F.col(text).isNull(), 0).otherwise(F.size(F.split(text, "\n"))))
     if dropped:
-        out = out.withColumn(dropped, F.coalesce(F.size("_gone"), F.lit(0)))
-    out = out.withColumn(text, F.when(F.col("_gone").isNull(), F.col(text)).otherwise(kept))
+        out = out.withColumn(dropped, F.when(none, 0).otherwise(F.size(places)))
+    out = out.withColumn(text, F.when(none, F.col(text)).otherwise(kept))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(F.length(text).cast(docs.schema["n_chars"].dataType)))
-    return out.drop("_digest", "_gone")
+        out = out.withColumn("n_chars", F.when(none, F.col("n_chars")).otherwise(F.length(text).cast(docs.schema["n_chars"].dataType)))
+    return out.drop(key, places)

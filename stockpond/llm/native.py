@@ -14,6 +14,14 @@ WORD = 6  # log2 of the bits of a bigint
 LANES = 32
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def row_digest(id_col: str, text: str) -> Column:
     """One key for rows equal in id and text, whatever is null; 128 bits."""
     return F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit("|"), F.coalesce(F.col(text), F.lit(""))))

@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from stockpond.llm.native import row_digest
+from stockpond.llm.native import free_name, row_digest
 from stockpond.session import materialize
 
 # After so many draws in its own format a surrogate gets one character more with each draw, so rounds end.
@@ -249,7 +249,9 @@ def with_surrogates(docs: DataFrame, key: bytes, id_col: str = "doc_id", text: s
     given = assign(listed.select("kind", "normal"), key)
     # As many as the text has entities.
     swaps = listed.join(given, ["kind", "normal"]).groupBy("_digest").agg(F.sort_array(F.collect_list(F.struct("at", "length", "kind", "surrogate"))).alias("_swaps"))
-    joined = docs.withColumn("_digest", row_digest(id_col, text)).join(materialize(swaps, "swaps"), "_digest", "left")
+    digest, name = free_name(docs, "_digest"), free_name(docs, "_swaps")
+    swaps = materialize(swaps.withColumnsRenamed({"_digest": digest, "_swaps": name}), "swaps")
+    joined = docs.withColumn(digest, row_digest(id_col, text)).join(swaps, digest, "left")
 
     @F.pandas_udf(StringType())
     def swap(texts: pd.Series, lists: pd.Series) -> pd.Series:
@@ -263,9 +265,9 @@ def with_surrogates(docs: DataFrame, key: bytes, id_col: str = "doc_id", text: s
             out.append("".join(pieces) + body[end:])
         return pd.Series(out)
 
-    none = F.col("_swaps").isNull()
+    none = F.col(name).isNull()
     # Only texts with entities go through Python; the others are passed as null and kept.
-    changed = swap(F.when(~none, F.col(text)).otherwise(F.lit("")), F.coalesce("_swaps", F.array().cast("array<struct<at:int,length:int,kind:string,surrogate:string>>")))
+    changed = swap(F.when(~none, F.col(text)).otherwise(F.lit("")), F.coalesce(name, F.array().cast("array<struct<at:int,length:int,kind:string,surrogate:string>>")))
     if replaced:
-        joined = joined.withColumn(replaced, F.coalesce(F.size("_swaps"), F.lit(0)))
-    return joined.withColumn(text, F.when(none, F.col(text)).otherwise(changed)).drop("_digest", "_swaps")
+        joined = joined.withColumn(replaced, F.when(none, 0).otherwise(F.size(name)))
+    return joined.withColumn(text, F.when(none, F.col(text)).otherwise(changed)).drop(digest, name)
