@@ -71,10 +71,9 @@ def customer_running_total(spark, sf_dir):
     facts = retail.order_facts(spark, sf_dir).select("order_id", "customer_id", "order_ts", "order_value")
     return plain(
         keyed_scan(
-            materialize(facts, "order-facts"),
+            facts,
             ["customer_id"],
             ["order_ts", "order_id"],
-            F.to_date("order_ts"),
             [sequence_number("customer_order_number"), running_sum("customer_running_total", "order_value")],
         )
     )
@@ -88,9 +87,7 @@ def customer_running_total(spark, sf_dir):
 )
 def customer_sequence(spark, sf_dir):
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    return keyed_scan(
-        orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], F.to_date("o_orderdate"), [sequence_number("order_number")]
-    )
+    return keyed_scan(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], [sequence_number("order_number")])
 
 
 @query(

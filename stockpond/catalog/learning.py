@@ -173,11 +173,12 @@ def standard_scale(spark, sf_dir):
     SELECT customer_id, ts, ROUND(log_prior_spend, 6) AS log_prior_spend, days_since_first_order, priority_ordinal FROM feature_table""",
 )
 def feature_view_refresh(spark, sf_dir):
-    """A view built up to a day and refreshed with the days after it equals a full build."""
+    """A view refreshed with later days and with rows of days it already has equals a full build."""
     root = scratch_path(spark, "feature-store")
     events = retail.customer_order_events(spark, sf_dir)
-    prior = materialize(features.prior_order_features(events), "prior-features")
-    vocabulary = features.fit_ordinal(prior, "prior_priority")
+    # Prior priorities are the priorities there are, and NONE.
+    known = events.select(F.col("order_priority").alias("prior_priority")).unionByName(spark.createDataFrame([(features.NO_PRIORITY,)], "prior_priority string"))
+    vocabulary = features.fit_ordinal(known, "prior_priority")
 
     def compute(rows):
         encoded = features.transform_ordinal(
@@ -185,8 +186,10 @@ def feature_view_refresh(spark, sf_dir):
         )
         return features.first_per_time(encoded)
 
-    early = events.where(F.col("ts") < F.lit("2001-01-01").cast("timestamp_ntz"))
+    # The first build lacks all later days and every seventh order of the days it has.
+    early = events.where((F.col("ts") < F.lit("2001-01-01").cast("timestamp_ntz")) & (F.col("order_id") % 7 != 3))
     features.refresh_feature_view(early, compute, root, "customer_features", 1)
+    features.refresh_feature_view(events.where("order_id % 5 <> 2").unionByName(early.where("order_id % 5 = 2")), compute, root, "customer_features", 1)
     features.refresh_feature_view(events, compute, root, "customer_features", 1)
     features.refresh_feature_view(events, compute, root, "customer_features", 1)
     view = features.read_feature_view(spark, root, "customer_features", 1)

@@ -90,12 +90,13 @@ def masked_null(spark, sf_dir):
 
 
 def gold_tables(spark, sf_dir):
-    facts = materialize(retail.order_facts(spark, sf_dir), "order-facts")
-    return {
-        "category_summary": marts.category_summary(facts, exact=True),
-        "orders_over_time": marts.orders_over_time(facts),
-        "order_facts": facts,
-    }
+    """The Gold tables, written where the model's ``base_table`` names look for them."""
+    root = scratch_path(spark, "metric-root")
+    retail.order_facts(spark, sf_dir).write.parquet(f"{root}/gold/order_facts")
+    facts = spark.read.parquet(f"{root}/gold/order_facts")
+    marts.category_summary(facts, exact=True).write.parquet(f"{root}/gold/category_summary")
+    marts.orders_over_time(facts).write.parquet(f"{root}/gold/orders_over_time")
+    return metrics.read_tables(spark, metrics.load_spec(), root)
 
 
 @query(
@@ -134,9 +135,9 @@ def metric_filtered_facts(spark, sf_dir):
         metrics.metric_query(
             {"order_facts": retail.order_facts(spark, sf_dir)},
             metrics.load_spec(),
-            ["line value", "units"],
-            ["product category"],
-            filters=[("status", "<>", "CANCELLED"), ("ordered at", ">=", F.lit("1998-01-01").cast("timestamp_ntz"))],
+            ["worth of the order", "pieces"],
+            ["kind of product"],
+            filters=[("state of the order", "<>", "CANCELLED"), ("moment of purchase", ">=", F.lit("1998-01-01").cast("timestamp_ntz"))],
             table="order_facts",
         )
     )
@@ -153,7 +154,7 @@ def metric_daily(spark, sf_dir):
     daily = {"orders_over_time": marts.orders_over_time(retail.order_facts(spark, sf_dir))}
     return plain(
         metrics.metric_query(
-            daily, metrics.load_spec(), ["daily orders", "daily sales"], ["day"], order_by=[("order_date", "asc")]
+            daily, metrics.load_spec(), ["purchases a day", "takings a day"], ["calendar day"], order_by=[("order_date", "asc")]
         )
     )
 
@@ -265,7 +266,7 @@ def tag_comparison(spark, sf_dir):
 )
 def clean(spark, sf_dir):
     register_clean_text(spark)
-    padded = F.concat(F.lit("\t  "), "p_name", F.lit(" \n"))
+    padded = F.concat(F.lit("\t \u00a0\x1c "), "p_name", F.lit(" \u2003\x85\n"))
     names = read_table(spark, sf_dir, "part").select("p_partkey", padded.alias("p_name"))
     return names.select(
         "p_partkey", clean_text(F.col("p_name")).alias("native"), F.call_function("clean_text", "p_name").alias("by_function")

@@ -8,9 +8,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
+# All that str.strip takes for white space.
+WHITE_SPACE = r"[\x09-\x0D\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
+
+
 def clean_text(text: Column) -> Column:
     """Surrounding white space of any kind removed, upper case; NULL stays NULL."""
-    return F.upper(F.regexp_replace(text, r"^\s+|\s+$", ""))
+    return F.upper(F.regexp_replace(text, rf"\A{WHITE_SPACE}+|{WHITE_SPACE}+\z", ""))
 
 
 def register_clean_text(spark: SparkSession, name: str = "clean_text") -> None:

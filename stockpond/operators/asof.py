@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from stockpond.operators.keyed_scan import HOT_ROWS, keyed_scan, last_known
+from stockpond.operators.keyed_scan import keyed_scan, last_known
 from stockpond.session import materialize
 
 
@@ -14,20 +14,22 @@ def asof_join(
     key: str,
     ts: str,
     feature_columns: list[str],
-    chunk: Column | None = None,
-    hot_rows: int = HOT_ROWS,
+    tie_break: str | None = None,
 ) -> DataFrame:
     """Every spine row with the latest features of its key whose time is not later.
 
-    ``features`` has one row per (key, ts). Both sides are stacked and scanned along time,
+    Of feature rows with the same key and time the one with the largest ``tie_break`` counts;
+    without that argument there must be one row per (key, ts). Both sides are stacked and scanned along time,
     features first on equal times, which is one shuffle on the key and no range join. Spine
     rows without an earlier feature row keep NULLs.
     """
+    tie = F.col(tie_break) if tie_break else F.lit(0)
     spine_columns = [c for c in spine.columns if c not in (key, ts)]
     observed = features.select(
         key,
         ts,
         F.lit(0).alias("_side"),
+        tie.alias("_tie"),
         F.lit(None).cast(spine.select(F.struct(key, *spine_columns)).schema[0].dataType).alias("_spine"),
         F.struct(*feature_columns).alias("_features"),
     )
@@ -35,6 +37,7 @@ def asof_join(
         key,
         ts,
         F.lit(1).alias("_side"),
+        F.lit(None).cast(observed.schema["_tie"].dataType).alias("_tie"),
         F.struct(key, *spine_columns).alias("_spine"),
         F.lit(None).cast(observed.schema["_features"].dataType).alias("_features"),
     )
@@ -42,10 +45,8 @@ def asof_join(
     scanned = keyed_scan(
         stacked,
         [key],
-        [ts, "_side"],
-        F.to_date(ts) if chunk is None else chunk,
+        [ts, "_side", "_tie"],
         [last_known("_known", "_features")],
-        hot_rows,
     )
     return scanned.where("_side = 1").select(
         key, ts, *[F.col(f"_spine.{c}").alias(c) for c in spine_columns], *[F.col(f"_known.{c}").alias(c) for c in feature_columns]

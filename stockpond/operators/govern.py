@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+# Fixed value: what masked text reads.
 MASK_TEXT = "***MASKED***"
 
 

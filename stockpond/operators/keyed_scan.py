@@ -1,9 +1,8 @@
 """Running results per key that survive a hot key.
 
-A window ``partitionBy(key)`` puts a whole key into one task. Here the keys holding most rows
-are looked up first. They are cut into time chunks: each chunk is scanned on its own and the
-result carried over from the chunks before it is added with a join. All other keys keep a
-single chunk, and without a hot key the plan is the plain window.
+A window ``partitionBy(key)`` puts a whole key into one task. Here rows are sorted into ranges
+by key and order, each range is scanned on its own, and the results of the ranges before it are
+added for a key that began there. It is one plan for all sizes and keys.
 """
 
 from __future__ import annotations
@@ -13,9 +12,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-HOT_ROWS = 1_000_000
-MOST_HOT_KEYS = 1000
-TRACKED_KEYS = 20_000
+from stockpond.operators.ordering import range_sorted
+from stockpond.session import materialize
 
 
 def _same(value: Column) -> Column:
@@ -24,7 +22,7 @@ def _same(value: Column) -> Column:
 
 @dataclass(frozen=True)
 class Running:
-    """How a running column is computed inside a chunk, summed up, carried and combined."""
+    """How a running column is computed inside a range, summed up, carried and combined."""
 
     name: str
     local: Callable[[WindowSpec], Column]
@@ -112,63 +110,51 @@ def key_minimum(name: str, value: str) -> Running:
     )
 
 
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> list[int]:
-    """Hashes of the keys with at least ``hot_rows`` rows, at most ``MOST_HOT_KEYS`` of them.
+def _same_key(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
+    same = F.lit(True)
+    for k in keys:
+        same = same & left[k].eqNullSafe(right[k])
+    return same
 
-    One pass over the key columns into a small sketch per task, without shuffling keys. Every
-    key with more than about 1 / 5,000 of the rows is seen, so one that stays whole holds
-    no more than a thousandth. Which keys are split never changes a result.
-    """
-    names = ", ".join(f"`{k}`" for k in keys)
-    sketch = F.expr(f"approx_top_k(xxhash64({names}), {MOST_HOT_KEYS}, {TRACKED_KEYS})")
-    return [item["item"] for item in df.agg(sketch.alias("top")).first()["top"] if item["count"] >= hot_rows]
-
-
-def keyed_scan(
-    df: DataFrame,
-    keys: list[str],
-    order_by: list[str],
-    chunk: Column,
-    columns: list[Running],
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+
+def _border_keys(placed: DataFrame, keys: list[str]) -> DataFrame:
+    """First and last key of each range; every other key lies in one range whole."""
+    key = F.struct(*keys)
+    ends = placed.groupBy("_part").agg(F.array(F.min(key), F.max(key)).alias("_ends"))
+    return ends.select(F.explode("_ends").alias("_key")).select("_key.*").distinct()
+
+
+def keyed_scan(df: DataFrame, keys: list[str], order_by: list[str], columns: list[Running]) -> DataFrame:
     """Add running columns per key in ascending ``order_by``.
 
-    ``chunk`` is a date that never decreases along ``order_by`` (the day or month of its
-    first column). ``df`` is read more than once, so pass a table, not a long lineage. Rows
-    with a NULL key are kept as one unsplit key.
+    The rows are sorted by key and order, in ranges of about equal size, so a key with many rows
+    spans ranges, whatever it is: NULL, or one with all its rows at one time but for ties. Each range is
+    scanned on its own; what a range needs from those before it are the totals of a border key.
     """
     names = {c.name for c in columns}
     kept = [c for c in df.columns if c not in names]
-    hot = hot_keys(df, keys, hot_rows)
-    if not hot:
-        whole = Window.partitionBy(*keys).orderBy(*order_by)
-        scanned = df.withColumns({f"_l{i}": c.local(whole) for i, c in enumerate(columns)})
-        return scanned.select(*kept, *[c.finish(F.col(f"_l{i}")).alias(c.name) for i, c in enumerate(columns)])
-
-    is_hot = F.xxhash64(*keys).isin(hot)
-    for k in keys:
-        is_hot = is_hot & F.col(k).isNotNull()
-    first_day = F.lit("0001-01-01").cast("date")
-    tagged = df.withColumn("_chunk", F.when(is_hot, F.coalesce(chunk.cast("date"), first_day)))
-
-    in_chunk = Window.partitionBy(*keys, "_chunk").orderBy(*order_by)
-    scanned = tagged.withColumns({f"_l{i}": c.local(in_chunk) for i, c in enumerate(columns)})
+    placed = range_sorted(df, [*keys, *order_by], "keyed-scan")
+    inside = Window.partitionBy("_part", *keys).orderBy(*order_by)
+    scanned = placed.withColumns({f"_l{i}": c.local(inside) for i, c in enumerate(columns)})
 
+    # At most two keys for each range of the sort, however many rows there are.
+    borders = F.broadcast(_border_keys(placed, keys))
     position = F.struct(*order_by)
     totals = (
-        tagged.where(F.col("_chunk").isNotNull())
-        .groupBy(*keys, "_chunk")
+        placed.join(borders, _same_key(placed, borders, keys), "left_semi")
+        .groupBy("_part", *keys)
         .agg(*[c.total(position).alias(f"_t{i}") for i, c in enumerate(columns)])
     )
-    chunks_of_key = Window.partitionBy(*keys).orderBy("_chunk")
+    ranges_of_key = Window.partitionBy(*keys).orderBy("_part")
     carried = totals.select(
-        *keys, "_chunk", *[c.carry(F.col(f"_t{i}"), chunks_of_key).alias(f"_c{i}") for i, c in enumerate(columns)]
+        F.col("_part").alias("_range"), *keys, *[c.carry(F.col(f"_t{i}"), ranges_of_key).alias(f"_c{i}") for i, c in enumerate(columns)]
     )
-    joined = scanned.join(carried, [*keys, "_chunk"], "left")
+    # One row for each range and border key.
+    carried = F.broadcast(materialize(carried, "carried"))
+    joined = scanned.join(carried, (F.col("_part") == F.col("_range")) & _same_key(scanned, carried, keys), "left")
     types = {f.name: f.dataType for f in scanned.schema.fields}
     combined = [
         c.finish(c.combine(F.col(f"_l{i}"), F.col(f"_c{i}")).cast(types[f"_l{i}"])).alias(c.name)
         for i, c in enumerate(columns)
     ]
-    return joined.select(*kept, *combined)
+    return joined.select(*[scanned[c] for c in kept], *combined)

@@ -10,8 +10,8 @@ from stockpond.session import materialize
 POSITION_BITS = 33
 
 
-def _sorted_with_position(df: DataFrame, order_by: list[str | Column], name: str) -> DataFrame:
-    """Range-sorted rows with their partition and position, written so that both stay fixed."""
+def range_sorted(df: DataFrame, order_by: list[str | Column], name: str) -> DataFrame:
+    """Range-sorted rows with their range (``_part``) and ``_position`` in it, written so that both stay fixed."""
     placed = df.sort(*order_by).withColumn("_at", F.monotonically_increasing_id())
     return materialize(
         placed.select(
@@ -29,7 +29,7 @@ def global_row_number(df: DataFrame, order_by: list[str | Column], alias: str =
     The rows are sorted by range, so each task knows the position in its own range; adding
     the size of the ranges before it, one small row per range, gives the global number.
     """
-    placed = _sorted_with_position(df, order_by, "row-number")
+    placed = range_sorted(df, order_by, "row-number")
     sizes = placed.groupBy("_part").agg(F.count("*").alias("_n"))
     # One row per range of the sort: bounded by the number of shuffle partitions.
     offsets = F.broadcast(
@@ -47,7 +47,7 @@ def global_row_number(df: DataFrame, order_by: list[str | Column], alias: str =
 
 def global_running_sums(df: DataFrame, order_by: list[str | Column], sums: dict[str, str]) -> DataFrame:
     """Running sums ``alias -> column`` over all rows along a total order."""
-    placed = _sorted_with_position(df, order_by, "running-sum")
+    placed = range_sorted(df, order_by, "running-sum")
     totals = placed.groupBy("_part").agg(*[F.sum(c).alias(f"_t_{a}") for a, c in sums.items()])
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = F.broadcast(

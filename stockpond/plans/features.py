@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer
@@ -9,7 +11,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stockpond.operators.asof import asof_join
 from stockpond.operators.keyed_scan import (
-    HOT_ROWS,
     key_minimum,
     keyed_scan,
     previous_value,
@@ -22,19 +23,17 @@ NO_PRIORITY = "NONE"
 FEATURES = ["log_prior_spend", "days_since_first_order", "priority_ordinal"]
 
 
-def prior_order_features(events: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def prior_order_features(events: DataFrame) -> DataFrame:
     """Per order, what was known about the customer before it."""
     scanned = keyed_scan(
         events,
         ["customer_id"],
         ["ts", "order_id"],
-        F.to_date("ts"),
         [
             prior_sum("prior_spend", "order_value"),
             key_minimum("first_ts", "ts"),
             previous_value("prior_priority", "order_priority"),
         ],
-        hot_rows,
     )
     spend = F.coalesce(F.col("prior_spend").cast("double"), F.lit(0.0))
     return scanned.select(
@@ -98,9 +97,9 @@ def first_per_time(encoded: DataFrame) -> DataFrame:
     return encoded.groupBy("customer_id", "ts").agg(first).select("customer_id", "ts", "_first.*")
 
 
-def feature_table(events: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def feature_table(events: DataFrame) -> DataFrame:
     """(customer_id, ts, features), one row per customer and time."""
-    features = materialize(prior_order_features(events, hot_rows), "prior-features")
+    features = materialize(prior_order_features(events), "prior-features")
     vocabulary = fit_ordinal(features, "prior_priority")
     return first_per_time(transform_ordinal(features, vocabulary, "prior_priority", "priority_ordinal"))
 
@@ -114,43 +113,67 @@ def training_set(events: DataFrame, features: DataFrame) -> DataFrame:
     return asof_join(labels(events), features, "customer_id", "ts", FEATURES)
 
 
-def write_feature_view(view: DataFrame, root: str, name: str, version: int, mode: str = "overwrite") -> str:
-    """Store a version of a feature view, in folders by month and sorted by customer."""
-    path = f"{root}/features/{name}/v={version}"
-    by_month = view.withColumn("feature_month", F.trunc(F.to_date("ts"), "MONTH"))
-    placed = by_month.repartitionByRange("feature_month", "customer_id").sortWithinPartitions("feature_month", "customer_id", "ts")
-    placed.write.mode(mode).partitionBy("feature_month").parquet(path)
-    return path
-
+BUILDS = "feature_month date, build string, seq bigint"
+SEEN = ["customer_id", "order_id"]
 
-def read_feature_view(spark: SparkSession, root: str, name: str, version: int) -> DataFrame:
-    return spark.read.parquet(f"{root}/features/{name}/v={version}")
 
-
-def last_feature_day(spark: SparkSession, root: str, name: str, version: int):
-    """The newest stored day, None for a missing view; reads the last folder only."""
+def _table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     try:
-        view = read_feature_view(spark, root, name, version)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException:
-        return None
-    last_month = view.agg(F.max("feature_month")).first()[0]
-    return view.where(F.col("feature_month") == F.lit(last_month)).agg(F.max(F.to_date("ts"))).first()[0]
+        return spark.createDataFrame([], schema)
+
+
+def _current_builds(spark: SparkSession, folder: str) -> DataFrame:
+    """Which build holds each month now."""
+    return _table(spark, f"{folder}/pointer", BUILDS).groupBy("feature_month").agg(F.max_by("build", "seq").alias("build"))
+
+
+def read_feature_view(spark: SparkSession, root: str, name: str, version: int) -> DataFrame:
+    """The stored rows of a view; builds that no pointer names are not there yet."""
+    folder = f"{root}/features/{name}/v={version}"
+    # One row for each month.
+    return spark.read.parquet(f"{folder}/rows").join(F.broadcast(_current_builds(spark, folder)), ["feature_month", "build"]).drop("build")
 
 
-def refresh_feature_view(events: DataFrame, compute, root: str, name: str, version: int) -> str:
-    """Append the days after the last stored one.
+def refresh_feature_view(events: DataFrame, compute, root: str, name: str, version: int) -> bool:
+    """Bring a stored view up to date with ``events``; False if it was.
 
-    Features look back, so ``compute`` gets the whole history of the customers that have
-    new orders, and of them only; older days are not written again.
+    New events are found by key, whatever their time. Features look back, so ``compute`` gets the
+    whole history of the customers with new events, and of them only. The months in which they have rows are
+    written as a new build, next to the old one; the view changes when one small file of the
+    pointer is added. A run that died before leaves a build that nobody reads.
     """
-    spark = events.sparkSession
-    last = last_feature_day(spark, root, name, version)
-    if last is None:
-        return write_feature_view(compute(events), root, name, version)
-    is_new = F.to_date("ts") > F.lit(last)
-    touched = materialize(events.where(is_new).select("customer_id").distinct(), "touched-customers")
-    history = materialize(events.join(touched, "customer_id", "left_semi"), "feature-history")
-    return write_feature_view(compute(history).where(is_new), root, name, version, mode="append")
+    spark, folder = events.sparkSession, f"{root}/features/{name}/v={version}"
+    pointer = materialize(_table(spark, f"{folder}/pointer", BUILDS), "feature-pointer")
+    last = pointer.agg(F.max("seq")).first()[0]
+    key = events.select(*SEEN).schema
+    seen = _table(spark, f"{folder}/seen", ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in key) + ", build string")
+    seen = seen.join(pointer.select("build").distinct(), "build", "left_semi").drop("build")
+    is_seen = events["customer_id"].eqNullSafe(seen["customer_id"]) & events["order_id"].eqNullSafe(seen["order_id"])
+    new = materialize(events.join(seen, is_seen, "left_anti").select(*SEEN), "new-events")
+    if new.isEmpty():
+        return False
+    touched = materialize(new.select("customer_id").distinct(), "touched-customers")
+
+    def of_touched(df: DataFrame, how: str) -> DataFrame:
+        return df.join(touched, df["customer_id"].eqNullSafe(touched["customer_id"]), how)
+
+    month = F.trunc(F.to_date("ts"), "MONTH")
+    recomputed = materialize(compute(materialize(of_touched(events, "left_semi"), "feature-history")).withColumn("feature_month", month), "recomputed")
+    months = materialize(recomputed.select("feature_month").distinct(), "touched-months")
+    rows = recomputed
+    if last is not None:
+        # One row for each month.
+        stored = read_feature_view(spark, root, name, version).join(F.broadcast(months), "feature_month", "left_semi")
+        rows = rows.unionByName(of_touched(stored, "left_anti").select(*rows.columns))
+    build = f"b-{uuid.uuid4().hex}"
+    placed = rows.withColumn("build", F.lit(build)).repartitionByRange("feature_month", "customer_id").sortWithinPartitions("feature_month", "customer_id", "ts")
+    placed.write.mode("append").partitionBy("build", "feature_month").parquet(f"{folder}/rows")
+    new.withColumn("build", F.lit(build)).write.mode("append").partitionBy("build").parquet(f"{folder}/seen")
+    entry = months.select("feature_month", F.lit(build).alias("build"), F.lit((last or 0) + 1).cast("bigint").alias("seq"))
+    entry.coalesce(1).write.mode("append").parquet(f"{folder}/pointer")
+    return True
 
 
 def table_profile(df: DataFrame, distinct_of: str) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from pathlib import Path
 
 import yaml
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 AGGREGATES = {
     "sum": F.sum,
@@ -32,6 +32,11 @@ def load_spec(path: str | Path | None = None) -> dict:
     return yaml.safe_load(Path(path or Path(__file__).with_name("retail_metrics.yaml")).read_text())
 
 
+def read_tables(spark: SparkSession, spec: dict, root: str) -> dict[str, DataFrame]:
+    """The tables of a model, each read from its ``base_table`` below ``root``."""
+    return {t["name"]: spark.read.parquet(f"{root.rstrip('/')}/{t['base_table']}") for t in spec["tables"]}
+
+
 def _lookup(entries: list[dict], name: str) -> dict | None:
     wanted = name.lower()
     for entry in entries:

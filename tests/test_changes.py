@@ -32,10 +32,10 @@ def test_feed(before, after):
     feed = changes.change_feed(before, after, KEY)
     found = {(r.product_id, r.price, r[ACTION], r[IS_UPDATE]) for r in feed.collect()}
     assert found == {
-        (106, money(12000), "INSERT", False),
-        (104, money(2500), "DELETE", True),
-        (104, money(2700), "INSERT", True),
-        (105, money(8000), "DELETE", False),
+        (16, money("12.25"), "INSERT", False),
+        (14, money(30), "DELETE", True),
+        (14, money(33), "INSERT", True),
+        (15, money(9), "DELETE", False),
     }
     assert changes.has_data(feed)
     assert not changes.has_data(changes.change_feed(after, after, KEY))
@@ -67,9 +67,9 @@ def test_null_conditions(spark):
 
 
 def test_upsert_and_new_rows(spark, before):
-    source = spark.createDataFrame([(104, "Keyboard", "Electronics", money(1)), (200, "Lamp", "Light", money(2))], PRODUCT_SCHEMA)
+    source = spark.createDataFrame([(14, "Skillet", "Kitchen", money(1)), (200, "Lamp", "Light", money(2))], PRODUCT_SCHEMA)
     merged = {r.product_id: r.price for r in changes.upsert(before, source, KEY).collect()}
-    assert len(merged) == 6 and merged[104] == money(1) and merged[200] == money(2)
+    assert len(merged) == 6 and merged[14] == money(1) and merged[200] == money(2)
     assert [r.product_id for r in changes.new_rows(source, before, KEY).collect()] == [200]
 
 
@@ -77,12 +77,12 @@ def test_product_summary_goldens(before, after):
     stored = changes.summarize(before, ["category"], "price")
     refreshed = changes.refresh_summary(stored, changes.change_feed(before, after, KEY), ["category"], "price")
     assert {r.category: (r.row_count, r.total) for r in refreshed.collect()} == {
-        "Electronics": (4, money(90900)),
-        "Furniture": (1, money(15000)),
+        "Kitchen": (4, money("91.75")),
+        "Lighting": (1, money(55)),
     }
-    dearer = changes.update_where(after, F.col("product_id") == 104, {"price": F.lit(2800)})
+    dearer = changes.update_where(after, F.col("product_id") == 14, {"price": F.lit(34)})
     second = changes.refresh_summary(refreshed, changes.change_feed(after, dearer, KEY), ["category"], "price")
-    assert {r.category: r.total for r in second.collect()}["Electronics"] == money(91000)
+    assert {r.category: r.total for r in second.collect()}["Kitchen"] == money("92.75")
 
 
 @pytest.mark.parametrize("seed", range(4))
@@ -114,8 +114,8 @@ PEOPLE = "customer_id int, name string, region string"
 
 @pytest.fixture(scope="module")
 def people(spark):
-    v0 = spark.createDataFrame([(1, "Alice", "EAST"), (2, "Bob", "WEST"), (3, "Charlie", "EAST")], PEOPLE)
-    v1 = changes.update_where(v0, F.col("customer_id") == 2, {"region": F.lit("NORTH")})
+    v0 = spark.createDataFrame([(1, "Mia", "COAST"), (2, "Noor", "HILLS"), (3, "Pavel", "COAST")], PEOPLE)
+    v1 = changes.update_where(v0, F.col("customer_id") == 2, {"region": F.lit("PLAIN")})
     log = history.log_entry(history.snapshot_as_changes(v0), 0, F.lit("2026-01-01")).unionByName(
         history.log_entry(changes.change_feed(v0, v1, ["customer_id"]), 1, F.lit("2026-01-02"))
     )
@@ -128,10 +128,10 @@ def regions(df):
 
 def test_past_states(people):
     _, _, log = people
-    assert regions(history.state_before(log, ["customer_id"], 1))["Bob"] == "WEST"
-    assert regions(history.state_before(log, ["customer_id"], 2))["Bob"] == "NORTH"
+    assert regions(history.state_before(log, ["customer_id"], 1))["Noor"] == "HILLS"
+    assert regions(history.state_before(log, ["customer_id"], 2))["Noor"] == "PLAIN"
     early = F.lit("2026-01-01 18:00:00").cast("timestamp_ntz")
-    assert regions(history.state_as_of(log, ["customer_id"], early))["Bob"] == "WEST"
+    assert regions(history.state_as_of(log, ["customer_id"], early))["Noor"] == "HILLS"
 
 
 def test_drop_and_restore(people):
@@ -140,15 +140,15 @@ def test_drop_and_restore(people):
     dropped = log.unionByName(history.drop_entry(log, key, 2, F.lit("2026-01-03")))
     assert history.state_before(dropped, key, 3).count() == 0
     restored = dropped.unionByName(history.restore_entry(log, key, 2, 3, F.lit("2026-01-04")))
-    assert regions(history.state_before(restored, key, 4)) == {"Alice": "EAST", "Bob": "NORTH", "Charlie": "EAST"}
+    assert regions(history.state_before(restored, key, 4)) == {"Mia": "COAST", "Noor": "PLAIN", "Pavel": "COAST"}
 
 
 def test_clone_is_independent(people):
     _, v1, _ = people
-    own = changes.update_where(v1.where("customer_id = 1"), F.lit(True), {"region": F.lit("SOUTH")}).withColumn(ACTION, F.lit("INSERT"))
+    own = changes.update_where(v1.where("customer_id = 1"), F.lit(True), {"region": F.lit("VALLEY")}).withColumn(ACTION, F.lit("INSERT"))
     clone = history.overlay(v1, own, ["customer_id"])
-    assert regions(clone) == {"Alice": "SOUTH", "Bob": "NORTH", "Charlie": "EAST"}
-    assert regions(v1) == {"Alice": "EAST", "Bob": "NORTH", "Charlie": "EAST"}
+    assert regions(clone) == {"Mia": "VALLEY", "Noor": "PLAIN", "Pavel": "COAST"}
+    assert regions(v1) == {"Mia": "COAST", "Noor": "PLAIN", "Pavel": "COAST"}
 
 
 def test_layout_of_one_file(spark):
@@ -185,7 +185,7 @@ def test_streams_survive_replay(spark, before, after):
     """A lost checkpoint replays all batches: folders are overwritten, results unchanged."""
     folder, log, deltas = (scratch_path(spark, n) for n in ("feed", "log", "deltas"))
     write_feed(spark, folder, before, after, 1)
-    cheaper = changes.update_where(after, F.col("product_id") == 104, {"price": F.lit(1), "category": F.lit("Sale")})
+    cheaper = changes.update_where(after, F.col("product_id") == 14, {"price": F.lit(1), "category": F.lit("Sale")})
     write_feed(spark, folder, after, cheaper, 2)
     schema = spark.read.parquet(folder).schema
 

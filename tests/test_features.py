@@ -8,7 +8,6 @@ from pyspark.sql import Window, functions as F
 
 from stockpond.operators.asof import asof_join, latest_features, leakage_report
 from stockpond.operators.keyed_scan import (
-    hot_keys,
     key_minimum,
     keyed_scan,
     last_known,
@@ -34,9 +33,8 @@ def skewed_rows(seed, n=600):
     return rows
 
 
-@pytest.mark.parametrize("hot_rows", [10, 1_000_000])
 @pytest.mark.parametrize("seed", range(3))
-def test_keyed_scan_equals_plain_windows(spark, seed, hot_rows):
+def test_keyed_scan_equals_plain_windows(spark, seed):
     raw = spark.createDataFrame(skewed_rows(seed), "k int, ts string, id int, v int, p string")
     df = raw.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
     w = Window.partitionBy("k").orderBy("ts", "id")
@@ -54,7 +52,6 @@ def test_keyed_scan_equals_plain_windows(spark, seed, hot_rows):
         df,
         ["k"],
         ["ts", "id"],
-        F.to_date("ts"),
         [
             sequence_number("n"),
             running_sum("total", "v"),
@@ -63,17 +60,15 @@ def test_keyed_scan_equals_plain_windows(spark, seed, hot_rows):
             last_known("known", "v"),
             key_minimum("first", "ts"),
         ],
-        hot_rows=hot_rows,
     )
     assert sorted(got.select(expected.columns).collect(), key=lambda r: r.id) == sorted(expected.collect(), key=lambda r: r.id)
 
 
-def test_only_big_keys_are_hot(spark):
-    df = spark.createDataFrame([(1,)] * 50 + [(2,)] * 10 + [(3,), (None,)], "k int")
-    one = df.select(F.xxhash64(F.lit(1)).alias("h")).first().h
-    assert hot_keys(df, ["k"], 20) == [one]
-    assert hot_keys(df, ["k"], 100) == []
-    assert hot_keys(df.where("k > 5"), ["k"], 1) == []
+def test_asof_takes_the_largest_of_equal_times(spark):
+    at = F.lit("2026-01-01").cast("timestamp_ntz")
+    feats = spark.createDataFrame([(1, 5, "a"), (1, 9, "b"), (1, 7, "c")], "k int, v int, f string").withColumn("ts", at)
+    spine = spark.createDataFrame([(1, 0), (2, 0), (None, 1)], "k int, label int").withColumn("ts", at)
+    assert {r.k: r.f for r in asof_join(spine, feats, "k", "ts", ["f"], tie_break="v").collect()} == {1: "b", 2: None, None: None}
 
 
 def frames(spark, seed):
@@ -84,12 +79,11 @@ def frames(spark, seed):
     return feats, spine
 
 
-@pytest.mark.parametrize("hot_rows", [20, 1_000_000])
 @pytest.mark.parametrize("seed", range(3))
-def test_asof_against_merge_asof(spark, seed, hot_rows):
+def test_asof_against_merge_asof(spark, seed):
     feats, spine = frames(spark, seed)
     as_ntz = lambda pdf: spark.createDataFrame(pdf).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
-    got = asof_join(as_ntz(spine), as_ntz(feats), "k", "ts", ["f"], hot_rows=hot_rows).toPandas()
+    got = asof_join(as_ntz(spine), as_ntz(feats), "k", "ts", ["f"]).toPandas()
     expected = pd.merge_asof(spine.sort_values("ts"), feats.sort_values("ts"), on="ts", by="k")
     merged = got.merge(expected, on="label", suffixes=("", "_expected"))
     assert len(got) == len(spine) == len(merged)
@@ -155,19 +149,51 @@ def test_scaling_of_a_constant(spark):
     assert [r.vs for r in rows] == pytest.approx([-np.sqrt(1.5), 0, np.sqrt(1.5)])
 
 
-def test_view_refresh_appends_days(spark, events):
+def view_rows(spark, root):
+    return sorted(features.read_feature_view(spark, root, "v", 1).select("customer_id", "ts", *features.FEATURES).collect())
+
+
+def test_view_refresh_takes_late_rows(spark, events):
     root = scratch_path(spark, "view-test")
+    vocabulary = features.fit_ordinal(features.prior_order_features(events), "prior_priority")
 
     def compute(rows):
-        return features.feature_table(rows)
-
-    assert features.last_feature_day(spark, root, "v", 1) is None
-    features.refresh_feature_view(events.where("ts < '2026-01-20'"), compute, root, "v", 1)
-    assert str(features.last_feature_day(spark, root, "v", 1)) == "2026-01-09"
-    features.refresh_feature_view(events, compute, root, "v", 1)
-    features.refresh_feature_view(events, compute, root, "v", 1)
-    view = features.read_feature_view(spark, root, "v", 1)
-    assert view.count() == 4 and view.where("ts >= '2026-02-01'").first().days_since_first_order == 31
+        return features.first_per_time(features.transform_ordinal(features.prior_order_features(rows), vocabulary, "prior_priority", "priority_ordinal"))
+
+    everything = sorted(compute(events).select("customer_id", "ts", *features.FEATURES).collect())
+    oldest = events.orderBy("ts", "order_id").first().order_id
+    part = events.where(F.col("order_id") != oldest).where("ts < '2026-01-20'")
+    assert features.refresh_feature_view(part, compute, root, "v", 1)
+    assert len(view_rows(spark, root)) < len(everything)
+    assert features.refresh_feature_view(events, compute, root, "v", 1)
+    assert view_rows(spark, root) == everything
+    assert not features.refresh_feature_view(events, compute, root, "v", 1)
+    assert view_rows(spark, root) == everything
+
+
+def test_a_killed_refresh_changes_nothing(spark, events, monkeypatch):
+    root = scratch_path(spark, "view-test")
+    features.refresh_feature_view(events.where("ts < '2026-01-20'"), features.feature_table, root, "v", 1)
+    before = view_rows(spark, root)
+
+    class Killed(Exception):
+        pass
+
+    writer = type(events.write)
+    parquet = writer.parquet
+
+    def dies(self, path, *args, **kwargs):
+        if path.endswith("/pointer"):
+            raise Killed
+        return parquet(self, path, *args, **kwargs)
+
+    monkeypatch.setattr(writer, "parquet", dies)
+    with pytest.raises(Killed):
+        features.refresh_feature_view(events, features.feature_table, root, "v", 1)
+    monkeypatch.undo()
+    assert view_rows(spark, root) == before
+    assert features.refresh_feature_view(events, features.feature_table, root, "v", 1)
+    assert len(view_rows(spark, root)) == features.feature_table(events).count()
 
 
 def test_profile(spark):

@@ -10,6 +10,7 @@ from stockpond.operators.changes import new_rows
 from stockpond.operators.clean import keep_latest
 from stockpond.operators.keyed_scan import keyed_scan, running_sum, sequence_number
 from stockpond.operators.marts import enrich_orders
+from stockpond.operators.ordering import range_sorted
 from stockpond.plans.features import transform_ordinal
 
 HOT = 7
@@ -123,18 +124,25 @@ def shuffled_rows(df):
     return found
 
 
-def test_scan_of_a_hot_key_uses_many_groups(spark, rows):
-    """The hot key is cut by day; no (key, chunk) group keeps a third of the rows."""
-    dated = rows.withColumn("ts", F.date_add(F.lit("2026-01-01").cast("date"), (F.col("id") % 50).cast("int")))
-    got = keyed_scan(
-        dated, ["k"], ["ts", "id"], F.col("ts"), [sequence_number("n"), running_sum("total", "id")], hot_rows=100
-    )
-    last = got.where(F.col("k") == HOT).orderBy(F.desc("n")).first()
-    hot = rows.where(F.col("k") == HOT).agg(F.count("*"), F.sum("id")).first()
-    assert (last.n, last.total) == tuple(hot)
+def scan_tasks(df, keys):
+    """Rows in the ranges of the scan's sort, largest last."""
+    placed = range_sorted(df, [*keys, "ts", "id"], "skew-test")
+    return sorted(r["count"] for r in placed.groupBy("_part").count().collect())
 
 
-def test_without_hot_keys_only_the_window_remains(spark, rows):
-    scanned = keyed_scan(rows, ["k"], ["id"], F.lit("2026-01-01").cast("date"), [sequence_number("n")])
-    text = scanned._jdf.queryExecution().executedPlan().toString()
-    assert "Join" not in text and text.count("Exchange") == 1 and text.count("Window [") == 1
+@pytest.mark.parametrize("key", [HOT, None])
+@pytest.mark.parametrize("days", [1, 50])
+def test_scan_splits_a_hot_key(spark, rows, key, days):
+    """Half of all rows with one key, or with none, over many days or on a single one."""
+    hot = F.col("id") % 2 == 0
+    dated = rows.select(
+        "id", F.when(hot, F.lit(key).cast("bigint")).otherwise(F.col("k") + 10_000).alias("k"), F.date_add(F.lit("2026-01-01").cast("date"), (F.col("id") % days).cast("int")).alias("ts")
+    )
+    with settings(spark, spark__sql__adaptive__coalescePartitions__enabled="false"):
+        sizes = scan_tasks(dated, ["k"])
+    assert len(sizes) > 3 and sizes[-1] < 2 * sum(sizes) / len(sizes)
+    got = keyed_scan(dated, ["k"], ["ts", "id"], [sequence_number("n"), running_sum("total", "id")])
+    last = got.where(F.col("k").eqNullSafe(F.lit(key))).orderBy(F.desc("n")).first()
+    whole = dated.where(F.col("k").eqNullSafe(F.lit(key))).agg(F.count("*"), F.sum("id")).first()
+    assert (last.n, last.total) == tuple(whole)
+    assert got.count() == 30000
