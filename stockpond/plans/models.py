@@ -57,8 +57,9 @@ def f1_evaluator(label: str) -> MulticlassClassificationEvaluator:
     )
 
 
-def auc_evaluator(label: str) -> BinaryClassificationEvaluator:
-    return BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
+def auc_evaluator(label: str, score: str = "rawPrediction") -> BinaryClassificationEvaluator:
+    """Area under the curve over all different scores, not over bins of them."""
+    return BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=score, metricName="areaUnderROC", numBins=0)
 
 
 def grid_search(
@@ -92,11 +93,13 @@ def grid_search(
         return f1_of(fitted.transform(folded.where(F.col("_fold") == fold)), label).first()[0] or 0.0
 
     tasks = [(c, f) for c in range(len(combinations)) for f in range(folds)]
-    with ThreadPool(parallelism) as pool:
-        scores = pool.map(score, tasks, chunksize=1)
-    means = [sum(scores[c * folds : (c + 1) * folds]) / folds for c in range(len(combinations))]
-    best = pipeline.fit(folded, combinations[means.index(max(means))])
-    folded.unpersist()
+    try:
+        with ThreadPool(parallelism) as pool:
+            scores = pool.map(score, tasks, chunksize=1)
+        means = [sum(scores[c * folds : (c + 1) * folds]) / folds for c in range(len(combinations))]
+        best = pipeline.fit(folded, combinations[means.index(max(means))])
+    finally:
+        folded.unpersist()
     rows = [(*[int(p[classifier.getParam(n)]) for n in names], m) for p, m in zip(combinations, means)]
     schema = ", ".join(f"{n} int" for n in names) + ", f1 double"
     return best, train.sparkSession.createDataFrame(rows, schema).orderBy(F.desc("f1"), *names)
@@ -139,7 +142,7 @@ def resolve(spark: SparkSession, root: str, name: str, alias: str = "default") -
     chosen = (
         _read(spark, f"{root}/aliases", ALIAS_SCHEMA)
         .where((F.col("model") == name) & (F.col("alias") == alias))
-        .agg(F.max_by("version", "set_at"))
+        .agg(F.max_by("version", F.struct("set_at", "version")))
         .first()[0]
     )
     if chosen is None:
@@ -162,8 +165,12 @@ def champion_challenger(holdout: DataFrame, champion: PipelineModel, challenger:
     both = challenger.transform(
         champion.transform(holdout).select(*holdout.columns, F.col("predicted").alias("_champion"))
     )
-    y, old, new = F.col(label) == 1, F.col("_champion") == 1, F.col("predicted") == 1
-    scores = both.agg(
+    return compare_predictions(both, label, "_champion", "predicted")
+
+
+def compare_predictions(scored: DataFrame, label: str, champion: str, challenger: str) -> DataFrame:
+    y, old, new = F.col(label) == 1, F.col(champion) == 1, F.col(challenger) == 1
+    scores = scored.agg(
         F.count("*").alias("rows"),
         f1(F.count_if(y & old), F.count_if(~y & old), F.count_if(y & ~old)).alias("champion_f1"),
         f1(F.count_if(y & new), F.count_if(~y & new), F.count_if(y & ~new)).alias("challenger_f1"),

@@ -1,4 +1,4 @@
-"""Every named query against its SQL on the smallest tables; the rest must return rows."""
+"""Every named query against its SQL on the smallest tables."""
 
 import pytest
 
@@ -6,7 +6,8 @@ import __spark_entry__ as entry_points
 from check_oracle import compare, connect
 from stockpond.catalog import ORACLES, QUERIES
 
-SLOW = {"grid_search", "batch_scores", "champion_challenger", "model_quality", "rf_accuracy", "rf_same_row_accuracy"}
+# 54 fits; tools/check_oracle.py runs it.
+SLOW = {"grid_search"}
 
 
 @pytest.fixture(scope="module")
@@ -24,13 +25,6 @@ def test_entry(spark):
     assert entry_points.entry(spark).count() == 6
 
 
-def test_forest_queries(spark, sf_dir):
-    row = entry_points.queries()["rf_accuracy"](spark, sf_dir).first()
-    assert row.rows > 0 and 0.3 < row.accuracy <= 1.0
-    scores = entry_points.queries()["batch_scores"](spark, sf_dir)
-    assert scores.count() == spark.read.parquet(f"{sf_dir}/orders.parquet").count()
-
-
 def test_sql_belongs_to_queries():
     assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
-    assert set(QUERIES) - set(ORACLES) == SLOW
+    assert set(QUERIES) == set(ORACLES)
