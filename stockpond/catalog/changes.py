@@ -156,6 +156,27 @@ def change_log(spark, sf_dir):
     return materialize(entries[0].unionByName(entries[1]).unionByName(entries[2]), "change-log")
 
 
+def stored_summary(spark, sf_dir):
+    return materialize(changes.summarize(version_0(spark, sf_dir), ["priority"], "price"), "stored-summary")
+
+
+def stored_feeds(spark, sf_dir):
+    """The changes of two versions, as a table that refreshes read."""
+    v0, v1, v2 = all_versions(spark, sf_dir)
+    feeds = [changes.change_feed(old, new, KEY).withColumn(history.VERSION, F.lit(i)) for i, (old, new) in enumerate(((v0, v1), (v1, v2)), 1)]
+    return materialize(feeds[0].unionByName(feeds[1]), "stored-feeds")
+
+
+def refreshed_summary(spark, stored, log):
+    """The summary after each new part of the log; a part that is consumed does not count again."""
+    offsets = scratch_path(spark, "offsets")
+    for upto in (1, 2, 2):
+        feed = changes.pending_changes(log.where(F.col(history.VERSION) <= upto), offsets, "summary", history.VERSION)
+        stored = materialize(changes.refresh_summary(stored, feed, ["priority"], "price"), "summary")
+        changes.mark_consumed(feed, offsets, "summary", history.VERSION)
+    return stored
+
+
 FEED_SQL = f"""
 feed AS (
   SELECT *, 'DELETE' AS _action, {DEARER} AS _is_update FROM v0 WHERE ({DELETED}) OR ({DEARER}) OR ({MOVED})
@@ -172,11 +193,17 @@ def change_feed(spark, sf_dir):
     return plain(changes.change_feed(v0, v1, KEY))
 
 
-@query("unchanged_feed", f"WITH {VERSIONS_SQL} SELECT COUNT(*) FILTER (order_id IS NULL) AS changed_rows FROM v0")
+@query(
+    "unchanged_feed",
+    f"""WITH {VERSIONS_SQL} SELECT (SELECT COUNT(*) FROM (SELECT * FROM v0 EXCEPT SELECT * FROM v0)) AS changed_rows,
+       (SELECT COUNT(*) FROM v0 LEFT JOIN v1 USING (order_id) WHERE v1.order_id IS NULL) AS deleted_rows""",
+)
 def unchanged_feed(spark, sf_dir):
-    """A table against itself: the feed is empty."""
+    """A table against itself gives an empty feed; against its next version, the deleted rows."""
     v0 = version_0(spark, sf_dir)
-    return changes.change_feed(v0, v0, KEY).agg(F.count("*").alias("changed_rows"))
+    deleted = changes.change_feed(v0, version_1(v0), KEY).where((F.col(ACTION) == "DELETE") & ~F.col(IS_UPDATE))
+    counted = changes.change_feed(v0, v0, KEY).agg(F.count("*").alias("changed_rows"))
+    return counted.withColumn("deleted_rows", deleted.agg(F.count("*").alias("n")).scalar())
 
 
 @query("merge_apply", f"WITH {VERSIONS_SQL} SELECT {PLAIN_SQL} FROM v1")
@@ -197,6 +224,7 @@ def merge_apply(spark, sf_dir):
 def upsert_merge(spark, sf_dir):
     v0, v1, _ = all_versions(spark, sf_dir)
     source = changes.effective_changes(changes.change_feed(v0, v1, KEY)).where(F.col(ACTION) == "INSERT")
+    source = materialize(source, "upsert-source")
     return plain(changes.upsert(v0, source.drop(ACTION, IS_UPDATE), KEY))
 
 
@@ -207,12 +235,11 @@ def upsert_merge(spark, sf_dir):
     FROM v2 GROUP BY priority""",
 )
 def incremental_summary(spark, sf_dir):
-    """The stored summary taken through two feeds, priority changes included."""
-    v0, v1, v2 = all_versions(spark, sf_dir)
-    stored = changes.summarize(v0, ["priority"], "price")
-    for old, new in ((v0, v1), (v1, v2)):
-        stored = changes.refresh_summary(stored, changes.change_feed(old, new, KEY), ["priority"], "price")
-    return plain(stored)
+    """The stored summary taken through two stored feeds, priority changes included.
+
+    Summary and feeds are tables: a refresh reads these and no version of the orders.
+    """
+    return plain(refreshed_summary(spark, stored_summary(spark, sf_dir), stored_feeds(spark, sf_dir)))
 
 
 @query(
@@ -263,11 +290,17 @@ def restore_dropped(spark, sf_dir):
     return plain(history.state_before(restored, KEY, 5))
 
 
-@query("state_after_drop", f"WITH {VERSIONS_SQL} SELECT COUNT(*) FILTER (order_id IS NULL) AS live_rows FROM v2")
+@query(
+    "state_after_drop",
+    f"""WITH {VERSIONS_SQL} SELECT 'before' AS state, COUNT(*) AS live_rows FROM v2
+    UNION ALL SELECT 'after', (SELECT COUNT(*) FROM (SELECT order_id FROM v2 EXCEPT SELECT order_id FROM v2))""",
+)
 def state_after_drop(spark, sf_dir):
+    """All rows up to the drop, none after it."""
     log = change_log(spark, sf_dir)
-    dropped = log.unionByName(history.drop_entry(log, KEY, 3, F.lit("2026-01-04 12:00:00")))
-    return history.state_before(dropped, KEY, 4).agg(F.count("*").alias("live_rows"))
+    dropped = materialize(log.unionByName(history.drop_entry(log, KEY, 3, F.lit("2026-01-04 12:00:00"))), "dropped-log")
+    states = [history.state_before(dropped, KEY, v).agg(F.lit(s).alias("state"), F.count("*").alias("live_rows")) for s, v in (("before", 3), ("after", 4))]
+    return states[0].unionByName(states[1])
 
 
 SOUTHERN = "status = 'O' AND priority = '4-NOT SPECIFIED'"
@@ -292,14 +325,14 @@ def overlay_clone(spark, sf_dir):
     )
 
 
-ROWS_PER_FILE = 5_000_000
+FILES_PER_MONTH = 1
 
 
 @query(
     "layout_report",
     f"""WITH placed AS (
       SELECT o_custkey, o_orderdate, CAST(date_trunc('month', o_orderdate) AS DATE) AS order_month,
-             o_orderkey % GREATEST(1, (SELECT COUNT(*) FROM orders) // (80 * {ROWS_PER_FILE})) AS slot FROM orders),
+             o_orderkey % {FILES_PER_MONTH} AS slot FROM orders),
     files AS (
       SELECT order_month, slot, MIN(o_custkey) AS low, MAX(o_custkey) AS high, MIN(o_orderdate) AS opened, MAX(o_orderdate) AS closed
       FROM placed GROUP BY 1, 2),
@@ -316,9 +349,8 @@ def layout_report(spark, sf_dir):
     """Files by order month: their customer ranges overlap, their date ranges do not."""
     path = scratch_path(spark, "orders-by-month")
     source = read_table(spark, sf_dir, "orders")
-    per_month = source.agg(F.greatest(F.lit(1), F.floor(F.count("*") / (80 * ROWS_PER_FILE))).alias("n")).scalar()
     orders = source.withColumns(
-        {"order_month": F.trunc(F.to_date("o_orderdate"), "MONTH"), "slot": F.col("o_orderkey") % per_month}
+        {"order_month": F.trunc(F.to_date("o_orderdate"), "MONTH"), "slot": F.col("o_orderkey") % FILES_PER_MONTH}
     )
     orders.repartition("order_month", "slot").write.partitionBy("order_month", "slot").parquet(path)
     stored = spark.read.schema(orders.schema).parquet(path)

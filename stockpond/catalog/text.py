@@ -69,11 +69,22 @@ def keyword_retrieve(spark, sf_dir):
 
 
 def hybrid_sql(where: str) -> str:
+    # All word matches, and the K most similar vectors of the cells of retrieve.vector_candidates.
     return f"""WITH {SCORES_SQL.format(where=where)},
+    cells AS (SELECT vec_id, embedding::DOUBLE[] AS v, CASE WHEN embedding[1] > 0 THEN 1 ELSE 0 END AS c1, CASE WHEN embedding[2] > 0 THEN 1 ELSE 0 END AS c2 FROM embeddings),
+    likeness AS (
+      SELECT q.vec_id AS question_id, d.vec_id AS doc_id,
+             CAST(ROUND(COALESCE(list_cosine_similarity(d.v, q.v), 0) * 1000000) AS BIGINT) AS similarity,
+             ABS(d.c1 - q.c1) + ABS(d.c2 - q.c2) <= 1 AS near
+      FROM cells q JOIN benchmark ON item_id = q.vec_id, cells d JOIN corpus ON corpus.doc_id = d.vec_id),
+    by_vector AS (
+      SELECT question_id, doc_id FROM likeness WHERE near
+      QUALIFY ROW_NUMBER() OVER (PARTITION BY question_id ORDER BY similarity DESC, doc_id) <= {K}),
+    candidates AS (SELECT question_id, doc_id FROM scores UNION SELECT question_id, doc_id FROM by_vector),
     hybrid AS (
-      SELECT s.question_id, s.doc_id,
-             s.score + CAST(ROUND(COALESCE(list_cosine_similarity(d.embedding::DOUBLE[], q.embedding::DOUBLE[]), 0) * 1000000) AS BIGINT) AS score
-      FROM scores s LEFT JOIN embeddings d ON d.vec_id = s.doc_id LEFT JOIN embeddings q ON q.vec_id = s.question_id)
+      SELECT c.question_id, c.doc_id, COALESCE(s.score, 0) + COALESCE(similarity, 0) AS score
+      FROM candidates c LEFT JOIN scores s ON s.question_id = c.question_id AND s.doc_id = c.doc_id
+           LEFT JOIN likeness m ON m.question_id = c.question_id AND m.doc_id = c.doc_id)
     SELECT question_id, doc_id, score, CAST(ROW_NUMBER() OVER (PARTITION BY question_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
     FROM hybrid QUALIFY rank <= {K}"""
 

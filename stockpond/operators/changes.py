@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stockpond.session import materialize
 
@@ -15,16 +16,25 @@ def duplicate_keys(df: DataFrame, key: list[str]) -> DataFrame:
     return df.groupBy(*key).agg(F.count("*").alias("rows")).where("rows > 1")
 
 
+def same_key(left: DataFrame, right: DataFrame, key: list[str]) -> Column:
+    """Equal keys, NULL equal to NULL."""
+    same = F.lit(True)
+    for c in key:
+        same = same & left[c].eqNullSafe(right[c])
+    return same
+
+
 def change_feed(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
     """Net difference of two versions with unique keys.
 
     An update gives two rows, the old one as DELETE and the new one as INSERT, both marked
-    as update; unchanged rows give none. Both sides are shuffled once, on the key.
+    as update; unchanged rows give none. A NULL key is a key like any other. Both sides are
+    shuffled once, on the key. Keys must be unique on either side (``duplicate_keys`` tells).
     """
     columns = new.columns
     before = old.select(*key, F.struct(*columns).alias("_old"))
     after = new.select(*key, F.struct(*columns).alias("_new"))
-    paired = before.join(after, key, "full_outer").where(~F.col("_old").eqNullSafe(F.col("_new")))
+    paired = before.join(after, same_key(before, after, key), "full_outer").where(~F.col("_old").eqNullSafe(F.col("_new")))
     is_update = F.col("_old").isNotNull() & F.col("_new").isNotNull()
     change = F.explode(
         F.filter(
@@ -57,7 +67,8 @@ def apply_changes(target: DataFrame, feed: DataFrame, key: list[str]) -> DataFra
     broadcast by its size and the target is not shuffled.
     """
     changes = effective_changes(feed)
-    untouched = target.join(changes.select(*key), key, "left_anti")
+    changed = changes.select(*key)
+    untouched = target.join(changed, same_key(target, changed, key), "left_anti")
     arrived = changes.where(F.col(ACTION) == "INSERT").select(*target.columns)
     return untouched.select(*target.columns).unionByName(arrived)
 
@@ -134,5 +145,29 @@ def refresh_summary(summary: DataFrame, feed: DataFrame, group: list[str], measu
 
 
 def passthrough_refresh(copy: DataFrame, old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
-    """Bring a plain copy of ``old`` up to ``new``."""
-    return apply_changes(copy, change_feed(old, new, key), key)
+    """Bring a plain copy of ``old`` up to ``new``; the feed is written once, as merging reads it twice."""
+    return apply_changes(copy, materialize(change_feed(old, new, key), "feed"), key)
+
+
+OFFSETS = "consumer string, upto bigint, consumed_at timestamp_ntz"
+
+
+def consumed_upto(spark: SparkSession, offsets: str, consumer: str) -> int:
+    """The last version of a feed that a consumer has taken, -1 at first."""
+    try:
+        known = spark.read.schema(OFFSETS).parquet(offsets)
+    except AnalysisException:
+        return -1
+    last = known.where(F.col("consumer") == consumer).agg(F.max("upto")).first()[0]
+    return -1 if last is None else last
+
+
+def pending_changes(log: DataFrame, offsets: str, consumer: str, version: str) -> DataFrame:
+    """The part of a change log that a consumer hasn't taken yet."""
+    return log.where(F.col(version) > consumed_upto(log.sparkSession, offsets, consumer))
+
+
+def mark_consumed(taken: DataFrame, offsets: str, consumer: str, version: str) -> None:
+    """Note how far a consumer is, after it has stored what it made of ``taken``; nothing taken, nothing noted."""
+    last = taken.agg(F.max(version).cast("bigint").alias("upto")).where("upto IS NOT NULL")
+    last.select(F.lit(consumer).alias("consumer"), "upto", F.localtimestamp().alias("consumed_at")).coalesce(1).write.mode("append").parquet(offsets)

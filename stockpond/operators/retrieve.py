@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stockpond.functions.scalars import cosine, first_group, search_tokens, try_to_number
-from stockpond.session import materialize, spread
+from stockpond.session import materialize
 
 # The instruction put before the retrieved context, and the empty answer.
 SYSTEM_TEXT = (
@@ -24,6 +24,8 @@ INVOICE_PATTERNS = {
 
 GRAM = 4
 SCORE_UNIT = 1_000_000
+# Components whose signs name the cell of a vector.
+CELL_BITS = 2
 
 
 def extract_fields(docs: DataFrame, text: str, patterns: dict[str, str], numeric: tuple[str, ...] = ()) -> DataFrame:
@@ -42,56 +44,74 @@ def question_tokens(questions: DataFrame) -> DataFrame:
 
 
 def matched_tokens(docs: DataFrame, tokens: DataFrame) -> DataFrame:
-    """(doc_id, tokens): which of the searched words occur anywhere in each document.
+    """(doc_id, token): which of the searched words occur anywhere in each document.
 
-    A searched word is letters and digits only, so it lies within one such run of the
-    text. Runs and words meet in an equi-join on the first four characters of the word,
-    which works for any number of questions and forms no question-document pairs.
+    A searched word is letters and digits only, so it lies within one such run of the text. Runs
+    and words are compared once per different run of the corpus, where they share the first four
+    characters of the word; the few runs that match are joined back to their documents.
     """
-    words = spread(docs.select("doc_id", "text")).select(
-        "doc_id",
-        F.explode(
-            F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("([a-z0-9]{4,})"), F.lit(1)))
-        ).alias("word"),
-    )
-    grams = words.select(
-        "doc_id",
-        "word",
-        F.explode(
-            F.array_distinct(F.regexp_extract_all("word", F.lit(f"(?=(.{{{GRAM}}}))"), F.lit(1)))
-        ).alias("gram"),
-    )
+    runs = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("([a-z0-9]{4,})"), F.lit(1)))
+    words = docs.select("doc_id", F.explode(runs).alias("word"))
+    grams = F.array_distinct(F.regexp_extract_all("word", F.lit(f"(?=(.{{{GRAM}}}))"), F.lit(1)))
+    vocabulary = words.select("word").distinct().select("word", F.explode(grams).alias("gram"))
     searched = tokens.select("token").distinct().withColumn("gram", F.substring("token", 1, GRAM))
-    return (
-        grams.join(searched, "gram")
-        .where(F.col("word").contains(F.col("token")))
-        .groupBy("doc_id")
-        .agg(F.collect_set("token").alias("tokens"))
-    )
+    found = vocabulary.join(searched, "gram").where(F.col("word").contains(F.col("token"))).select("word", "token").distinct()
+    return words.join(materialize(found, "matched-words"), "word").select("doc_id", "token").distinct()
 
 
-def lexical_scores(questions: DataFrame, docs: DataFrame) -> DataFrame:
-    """(question_id, doc_id, score) of all documents sharing a word with the question.
+def question_weights(questions: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The words of each question that occur, rarest first, and the documents they occur in.
 
-    The score sums ln((1 + N) / (df + 0.5)) over the matched words, in whole millionths so
-    that the order of summation cannot change it.
+    A word weighs ln((1 + N) / (df + 0.5)) for each time it is asked, in whole millionths so that
+    the order of summation cannot change a score; ``rest`` is the weight of all commoner words.
     """
     asked = materialize(question_tokens(questions), "question-tokens")
     matches = materialize(matched_tokens(docs, asked), "matched-tokens")
-    per_doc = matches.select("doc_id", F.explode("tokens").alias("token"))
     corpus = docs.agg(F.count("*").alias("n")).scalar()
-    frequency = per_doc.groupBy("token").agg(F.count("*").alias("df"))
-    weight = F.round(F.log((corpus + 1) / (F.col("df") + 0.5)) * SCORE_UNIT).cast("bigint")
-    # A few rows per question; written so that the planner knows how few.
-    weighted = materialize(
-        asked.join(frequency, "token").select("question_id", "token", (F.col("times") * weight).alias("weight")),
-        "question-weights",
+    frequency = matches.groupBy("token").agg(F.count("*").alias("df"))
+    weight = F.col("times") * F.round(F.log((corpus + 1) / (F.col("df") + 0.5)) * SCORE_UNIT).cast("bigint")
+    # A handful of words per question.
+    rarest_first = Window.partitionBy("question_id").orderBy("df", "token")
+    later = rarest_first.rowsBetween(1, Window.unboundedFollowing)
+    weighted = asked.join(frequency, "token").select("question_id", "token", "df", weight.alias("weight"))
+    placed = weighted.withColumns(
+        {"place": F.row_number().over(rarest_first), "rest": F.coalesce(F.sum("weight").over(later), F.lit(0))}
     )
-    return (
-        per_doc.join(weighted, "token")
-        .groupBy("question_id", "doc_id")
-        .agg(F.sum("weight").alias("score"))
+    return materialize(placed.drop("df"), "question-weights"), matches
+
+
+def lexical_candidates(weights: DataFrame, matches: DataFrame, k: int, margin: int = 0) -> DataFrame:
+    """(question_id, doc_id, score): the ``k`` best documents of each question and all within ``margin`` of them.
+
+    The words of a question are expanded to documents from the rarest on. A document without
+    any of the words so far can score the rest at most; once the k-th best is above that, no
+    commoner word can bring a document in, so it is only looked up for the candidates. The rounds
+    end with the last question, at the latest with its last word.
+    """
+    spark = weights.sparkSession
+    open_ = weights.select("question_id").distinct()
+    kept = spark.createDataFrame([], "question_id bigint, doc_id bigint").select(
+        *[F.col(c).cast(t) for c, t in (("question_id", weights.schema["question_id"].dataType), ("doc_id", matches.schema["doc_id"].dataType))]
     )
+    partial = kept.withColumn("score", F.lit(0).cast("bigint"))
+    place = 0
+    while not open_.isEmpty():
+        place += 1
+        words = materialize(weights.where(F.col("place") == place).join(open_, "question_id"), "open-words")
+        more = matches.join(words, "token").select("question_id", "doc_id", F.col("weight").alias("score"))
+        partial = partial.join(words.select("question_id"), "question_id", "left_semi").unionByName(more)
+        partial = materialize(partial.groupBy("question_id", "doc_id").agg(F.sum("score").alias("score")), "partial-scores")
+        floor = best_k(partial, k).groupBy("question_id").agg(F.when(F.count("*") == k, F.min("score")).alias("floor"))
+        state = materialize(words.select("question_id", "rest").join(floor, "question_id", "left"), "question-state")
+        # Without words left there is nothing to expand: then all scores are whole.
+        settled = state.where((F.col("rest") == 0) | (F.col("floor") - margin > F.col("rest")))
+        reach = F.col("score") + F.col("rest") >= F.coalesce(F.col("floor") - margin, F.lit(0))
+        done = partial.join(settled, "question_id").where(reach).select("question_id", "doc_id")
+        kept = kept.unionByName(materialize(done, "settled-candidates"))
+        open_ = materialize(state.select("question_id").join(settled.select("question_id"), "question_id", "left_anti"), "open-questions")
+        partial = materialize(partial.join(open_, "question_id", "left_semi"), "open-scores")
+    asked = kept.join(weights.select("question_id", "token", "weight"), "question_id")
+    return asked.join(matches, ["doc_id", "token"]).groupBy("question_id", "doc_id").agg(F.sum("weight").alias("score"))
 
 
 def best_k(scores: DataFrame, k: int) -> DataFrame:
@@ -101,35 +121,57 @@ def best_k(scores: DataFrame, k: int) -> DataFrame:
 
 
 def keyword_retrieve(questions: DataFrame, docs: DataFrame, k: int = 3) -> DataFrame:
-    return best_k(lexical_scores(questions, docs), k)
+    return best_k(lexical_candidates(*question_weights(questions, docs), k), k)
+
+
+def cell(vector: Column, bits: int) -> Column:
+    """Number of the orthant of the first ``bits`` components."""
+    number = F.lit(0)
+    for i in range(bits):
+        number = number + F.when(F.get(vector, F.lit(i)) > 0, 1 << i).otherwise(0)
+    return number
+
+
+def vector_candidates(questions: DataFrame, vectors: DataFrame, k: int, bits: int = CELL_BITS) -> DataFrame:
+    """(question_id, doc_id): the ``k`` documents with the most similar vectors in the cell of the question and those next to it.
+
+    An approximate search over ``2 ** bits`` cells, of which ``bits + 1`` are looked into; choose
+    ``bits`` so that a cell holds a few thousand vectors.
+    """
+    near = F.transform(F.array(F.lit(0), *[F.lit(1 << i) for i in range(bits)]), lambda flip: F.col("_cell").bitwiseXOR(flip))
+    asked = questions.where("vector IS NOT NULL").select("question_id", F.col("vector").alias("_question_vector"), cell(F.col("vector"), bits).alias("_cell"))
+    probes = asked.select("question_id", "_question_vector", F.explode(near).alias("_cell"))
+    placed = vectors.where("vector IS NOT NULL").withColumn("_cell", cell(F.col("vector"), bits))
+    similar = placed.join(probes, "_cell").select(
+        "question_id", "doc_id", F.round(F.coalesce(cosine(F.col("vector"), F.col("_question_vector")), F.lit(0.0)) * SCORE_UNIT).cast("bigint").alias("score")
+    )
+    return best_k(similar, k).select("question_id", "doc_id")
 
 
 def hybrid_retrieve(
-    questions: DataFrame, docs: DataFrame, vectors: DataFrame, k: int = 3, source: str | None = None
+    questions: DataFrame, docs: DataFrame, vectors: DataFrame, k: int = 3, source: str | None = None, bits: int = CELL_BITS
 ) -> DataFrame:
-    """Keyword candidates ranked by keyword score plus cosine similarity.
+    """Candidates by word and by vector, ranked by keyword score plus cosine similarity.
 
     ``questions`` carries a ``vector``; ``vectors`` is (doc_id, vector). A document or
-    question without a vector counts with similarity 0.
+    question without a vector counts with similarity 0, one without a shared word with score 0.
     """
     corpus = docs if source is None else docs.where(F.col("source") == source)
-    lexical = materialize(lexical_scores(questions.select("question_id", "question"), corpus), "lexical-scores")
+    weights, matches = question_weights(questions.select("question_id", "question"), corpus)
     # Similarity moves a score by one unit up or down, so whatever lies more than two units
     # below the k-th best keyword score cannot come back among the best k.
-    floor = (
-        best_k(lexical, k)
-        .groupBy("question_id")
-        .agg(F.when(F.count("*") == k, F.min("score") - 2 * SCORE_UNIT).alias("_floor"))
-    )
-    candidates = materialize(
-        lexical.join(materialize(floor, "score-floor"), "question_id")
-        .where(F.col("_floor").isNull() | (F.col("score") >= F.col("_floor")))
-        .drop("_floor"),
-        "candidates",
-    )
+    lexical = materialize(lexical_candidates(weights, matches, k, 2 * SCORE_UNIT), "lexical-candidates")
+    known = vectors if source is None else vectors.join(corpus.select("doc_id"), "doc_id", "left_semi")
+    by_vector = materialize(vector_candidates(questions, known, k, bits), "vector-candidates")
+    added = by_vector.join(lexical.select("question_id", "doc_id"), ["question_id", "doc_id"], "left_anti")
+    # A document that came by its vector may still share words, only too few to be a word candidate.
+    words = added.join(weights.select("question_id", "token", "weight"), "question_id").join(matches, ["doc_id", "token"])
+    scores = words.groupBy("question_id", "doc_id").agg(F.sum("weight").alias("score"))
+    added = added.join(scores, ["question_id", "doc_id"], "left").select("question_id", "doc_id", F.coalesce("score", F.lit(0)).cast("bigint").alias("score"))
+    candidates = materialize(lexical.unionByName(added), "candidates")
     asked = questions.select("question_id", F.col("vector").alias("_question_vector"))
     similar = (
-        vectors.join(candidates.select("question_id", "doc_id"), "doc_id")
+        known.join(candidates.select("question_id", "doc_id"), "doc_id")
         .join(asked, "question_id")
         .select("question_id", "doc_id", cosine(F.col("vector"), F.col("_question_vector")).alias("_similarity"))
     )

@@ -64,7 +64,7 @@ def log_run(spark: SparkSession, log_dir: str, run_id: int, name: str, schema_na
     try:
         return body()
     except Exception as error:
-        state, message = "FAILED", str(error)[:1000]
+        state, message = "FAILED", str(error)
         raise
     finally:
         ended = datetime.now(timezone.utc).replace(tzinfo=None)

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_ROOTS: dict[str, str] = {}
+# Paths given out so far, oldest first.
+_MADE: list[str] = []
 
 
 def build_session(app: str = "stockpond", master: str | None = None, **conf: str) -> SparkSession:
@@ -52,13 +55,32 @@ def _session_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{_session_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{_session_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def clear_scratch(spark: SparkSession) -> None:
     """Remove what this application wrote below the shared folder, once its results are read."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(_session_folder(spark))
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    _delete(spark, _session_folder(spark))
+    _MADE.clear()
+
+
+@contextmanager
+def released(spark: SparkSession):
+    """Remove the intermediate tables made inside, once the results made from them are stored or read."""
+    before = len(_MADE)
+    try:
+        yield
+    finally:
+        for path in _MADE[before:]:
+            _delete(spark, path)
+        del _MADE[before:]
 
 
 def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
@@ -75,13 +97,3 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give a scan of few large splits to all cores before expensive work per row.
-
-    A scan with at least as many splits as cores, the normal case on a cluster, is left
-    alone. Meant for plain scans: asking for the splits of a shuffled result would run it.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

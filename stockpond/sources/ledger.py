@@ -11,6 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from stockpond.session import materialize
 from stockpond.sources.tables import list_files, read_csv
 
 LEDGER_SCHEMA = (
@@ -34,12 +35,23 @@ def load_new_files(
     table_name: str,
     loaded_at: Column,
     glob: str = "*.csv",
+    files_per_load: int = 10_000,
+) -> int:
+    """Load the CSV files of a folder that are not in the ledger, so many at a time; returns how many."""
+    loaded = 0
+    while n := _load_some(spark, folder, schema, table_dir, table_name, loaded_at, glob, files_per_load):
+        loaded += n
+    return loaded
+
+
+def _load_some(
+    spark: SparkSession, folder: str, schema: StructType, table_dir: str, table_name: str, loaded_at: Column, glob: str, most: int
 ) -> int:
-    """Load the CSV files of a folder that are not in the ledger; returns how many."""
     ledger = read_ledger(spark, table_dir)
     new_files = list_files(spark, folder, glob).join(ledger.select("file_path"), "file_path", "left_anti")
-    # File names only: the driver lists them anyway to plan a scan.
-    paths = [r.file_path for r in new_files.select("file_path").toLocalIterator()]
+    # A bounded number of names for the reader; the next round takes the rest.
+    chosen = materialize(new_files.orderBy("file_path").limit(most), "new-files")
+    paths = [r.file_path for r in chosen.select("file_path").collect()]
     if not paths:
         return 0
     load_id = (ledger.agg(F.max("load_id")).first()[0] or 0) + 1
@@ -47,7 +59,7 @@ def load_new_files(
     rows = read_csv(spark, paths, schema)
     rows.select("*", F.col("_metadata.file_path").alias("_file")).write.mode("overwrite").parquet(data)
     counts = spark.read.parquet(data).groupBy(F.col("_file").alias("file_path")).agg(F.count("*").alias("row_count"))
-    entries = new_files.join(counts, "file_path", "left").select(
+    entries = chosen.join(counts, "file_path", "left").select(
         F.lit(load_id).cast("bigint").alias("load_id"),
         F.lit(table_name).alias("table_name"),
         "file_path",
@@ -62,8 +74,8 @@ def load_new_files(
 
 def read_loaded(spark: SparkSession, table_dir: str, schema: StructType) -> DataFrame:
     """All rows of the loads the ledger knows."""
-    committed = [r.load_id for r in read_ledger(spark, table_dir).select("load_id").distinct().collect()]
-    if not committed:
+    committed = read_ledger(spark, table_dir).select("load_id").distinct()
+    if committed.isEmpty():
         return spark.createDataFrame([], schema)
     rows = spark.read.parquet(f"{table_dir}/data")
-    return rows.where(F.col("load_id").isin(committed)).select(*schema.names)
+    return rows.join(committed, "load_id", "left_semi").select(*schema.names)

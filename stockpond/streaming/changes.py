@@ -47,9 +47,11 @@ def current_state(base: DataFrame, log_dir: str, key: list[str], order_by: list[
     spark = base.sparkSession
     schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in base.schema)}, {ACTION} string, {IS_UPDATE} boolean"
     extra = [c for c in order_by if c not in base.columns]
-    schema += "".join(f", `{c}` bigint" for c in extra)
     try:
-        log = spark.read.schema(f"{schema}, _batch_id bigint").parquet(f"{log_dir}")
+        # The types of other order columns are those the feed was written with.
+        stored = spark.read.parquet(log_dir).schema if extra else None
+        schema += "".join(f", `{c}` {stored[c].dataType.simpleString()}" for c in extra)
+        log = spark.read.schema(f"{schema}, _batch_id bigint").parquet(log_dir)
     except AnalysisException:
         return base
     latest = keep_latest(log, key, [*order_by, "_batch_id"])

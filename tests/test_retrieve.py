@@ -89,10 +89,35 @@ def test_scores_against_brute_force(spark, seed):
             matched = [t for t in ts if t in body.lower()]
             if matched:
                 expected[(q, doc_id)] = sum(weight[t] for t in matched)
-    got = retrieve.lexical_scores(
+    weights, matches = retrieve.question_weights(
         spark.createDataFrame(questions, "question_id int, question string"), spark.createDataFrame(docs, "doc_id int, text string, source string")
     )
-    assert {(r.question_id, r.doc_id): r.score for r in got.collect()} == expected
+    everything = retrieve.lexical_candidates(weights, matches, 1000)
+    assert {(r.question_id, r.doc_id): r.score for r in everything.collect()} == expected
+    best = retrieve.best_k(retrieve.lexical_candidates(weights, matches, 2), 2).collect()
+    want = set()
+    for q in asked:
+        mine = sorted(((-s, d) for (other, d), s in expected.items() if other == q))[:2]
+        want |= {(q, d, -s) for s, d in mine}
+    assert {(r.question_id, r.doc_id, r.score) for r in best} == want
+
+
+@pytest.mark.parametrize("n", [200, 2000])
+def test_a_common_word_is_not_expanded(spark, n):
+    """Every document has the common word, three have the rare ones: only these become candidates."""
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.lit("common "), F.when(F.col("id") < 3, "quixotic zephyr").otherwise("other")).alias("text"))
+    asked = spark.createDataFrame([(q, "common quixotic zephyr") for q in range(4)], "question_id int, question string")
+    weights, matches = retrieve.question_weights(asked, docs)
+    assert retrieve.lexical_candidates(weights, matches, 3).count() == 12
+
+
+def test_vectors_bring_in_documents(spark):
+    """No shared word: the k nearest vectors of the cells looked into are the hits."""
+    docs = spark.createDataFrame([(i, f"text{i}", "s") for i in range(6)], "doc_id int, text string, source string")
+    vectors = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(5)] + [(5, [-1.0, -9.0])], "doc_id int, vector array<double>")
+    asked = spark.createDataFrame([(1, "nothing alike", [1.0, 4.0]), (2, "nothing alike", None)], "question_id int, question string, vector array<double>")
+    found = [(r.question_id, r.doc_id) for r in retrieve.hybrid_retrieve(asked, docs, vectors, 3).orderBy("question_id", "rank").collect()]
+    assert found == [(1, 4), (1, 3), (1, 2)]
 
 
 def test_invoice(spark):
