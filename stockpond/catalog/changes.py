@@ -370,6 +370,13 @@ def layout_report(spark, sf_dir):
     return labelled[0].unionByName(labelled[1])
 
 
+@query("json_strict", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
+def json_strict(spark, sf_dir):
+    """Parsed strictly: one malformed text would fail the query."""
+    events = semi.parse_documents(read_table(spark, sf_dir, "events").select("event_id", "props"), "props", strict=True)
+    return events.select("event_id", semi.path("doc", "$.k", "bigint").alias("k"))
+
+
 @query(
     "medallion_gold",
     f"""WITH {BRONZE_SQL},{PRODUCTS_SQL},

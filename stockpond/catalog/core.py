@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+import uuid
+
+from pyspark.sql import Window, functions as F
 
 from stockpond.catalog.registry import (
     BRONZE_SQL,
@@ -22,7 +24,7 @@ from stockpond.operators.profile import column_summary
 from stockpond.plans.features import null_counts
 from stockpond.session import materialize, scratch_path
 from stockpond.sources import retail
-from stockpond.sources.tables import layer_row_counts, read_table
+from stockpond.sources.tables import layer_row_counts, literal_rows, read_table
 
 LINE_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate", "l_quantity"]
 
@@ -249,15 +251,20 @@ def wide_sort_topk(spark, sf_dir):
 @query(
     "wide_sort_sink",
     """SELECT l_returnflag, l_linestatus, COUNT(*) AS row_count, MIN(l_extendedprice) AS lowest,
-              MAX(l_extendedprice) AS highest FROM lineitem GROUP BY ALL""",
+              MAX(l_extendedprice) AS highest, 0::BIGINT AS breaks FROM lineitem GROUP BY ALL""",
 )
 def wide_sort_sink(spark, sf_dir):
+    """Also counts the places where a file begins before the one written ahead of it ends."""
     lines = read_table(spark, sf_dir, "lineitem")
     order = ["l_returnflag", "l_linestatus", "l_extendedprice", "l_orderkey"]
     stored = write_sorted(lines, order, scratch_path(spark, "wide-sort"))
+    ends = stored.groupBy(F.col("_metadata.file_name").alias("file")).agg(F.min(F.struct(*order)).alias("low"), F.max(F.struct(*order)).alias("high"))
+    # One row for each file.
+    before = F.lag("high").over(Window.orderBy("file"))
+    breaks = ends.select((before > F.col("low")).alias("broken")).agg(F.count_if("broken").alias("breaks")).scalar()
     return stored.groupBy("l_returnflag", "l_linestatus").agg(
         F.count("*").alias("row_count"), F.min("l_extendedprice").alias("lowest"), F.max("l_extendedprice").alias("highest")
-    )
+    ).withColumn("breaks", breaks)
 
 
 @query(
@@ -448,6 +455,37 @@ def table_sinks(spark, sf_dir):
     )
 
 
+@query(
+    "named_table",
+    """SELECT o_orderstatus, COUNT(*) AS row_count, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
+       FROM orders GROUP BY o_orderstatus""",
+)
+def named_table(spark, sf_dir):
+    """A table by name whose rows are replaced while the table stays, and to which rows are added."""
+    name = f"orders_{uuid.uuid4().hex}"
+    orders = read_table(spark, sf_dir, "orders").withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(18,2)"))
+    filled = F.col("o_orderstatus") == "F"
+    orders.write.option("path", scratch_path(spark, "named-table")).saveAsTable(name)
+    orders.where(filled).write.insertInto(name, overwrite=True)
+    orders.where(~filled).write.insertInto(name)
+    return plain(spark.table(name).groupBy("o_orderstatus").agg(F.count("*").alias("row_count"), F.sum("o_totalprice").alias("total")))
+
+
+URGENCY = [("1-URGENT", 1, "today"), ("2-HIGH", 2, "today"), ("3-MEDIUM", 3, "this week"), ("4-NOT SPECIFIED", None, None)]
+
+
+@query(
+    "literal_rows",
+    """SELECT when_, COUNT(*) AS orders, CAST(SUM(step) AS BIGINT) AS steps
+       FROM orders LEFT JOIN (VALUES ('1-URGENT', 1, 'today'), ('2-HIGH', 2, 'today'), ('3-MEDIUM', 3, 'this week'), ('4-NOT SPECIFIED', NULL, NULL)) u(priority, step, when_)
+            ON o_orderpriority = priority GROUP BY when_""",
+)
+def literal_rows_query(spark, sf_dir):
+    urgency = literal_rows(spark, URGENCY, "priority string, step int, when_ string")
+    orders = read_table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("priority"))
+    return orders.join(urgency, "priority", "left").groupBy("when_").agg(F.count("*").alias("orders"), F.sum("step").alias("steps"))
+
+
 @query(
     "bronze_versions",
     f"""WITH {BRONZE_SQL}

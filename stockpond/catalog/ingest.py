@@ -72,13 +72,17 @@ def load_history(spark, sf_dir):
     return recent.groupBy("table_name", "loaded_at").agg(F.sum("row_count").alias("row_count"))
 
 
-@query("file_listing", "SELECT p_brand AS brand, COUNT(*) > 0 AS has_bytes FROM part GROUP BY p_brand")
+@query("file_listing", "SELECT p_brand AS brand, COUNT(*) AS rows, TRUE AS bytes_fit FROM part GROUP BY p_brand")
 def file_listing(spark, sf_dir):
+    """Listed files with the rows found in them; a row takes ten bytes at least."""
     folder = scratch_path(spark, "brands")
     read_table(spark, sf_dir, "part").write.partitionBy("p_brand").option("header", True).csv(folder)
     files = list_files(spark, folder, "*.csv", recursive=True)
     brand = F.url_decode(F.regexp_extract("file_path", "p_brand=([^/]+)/", 1))
-    return files.groupBy(F.url_decode(brand).alias("brand")).agg((F.sum("file_size") > 0).alias("has_bytes"))
+    stored = spark.read.option("header", True).option("recursiveFileLookup", "true").csv(folder)
+    rows = stored.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(F.count("*").alias("rows"))
+    found = files.join(rows, "file_path", "left").groupBy(F.url_decode(brand).alias("brand"))
+    return found.agg(F.sum("rows").alias("rows"), (F.sum("file_size") >= 10 * F.sum("rows")).alias("bytes_fit"))
 
 
 @query("stream_file_ingest", PRODUCT_SQL)
@@ -95,6 +99,20 @@ def stream_file_ingest(spark, sf_dir):
     return plain(spark.read.schema(PRODUCT_SCHEMA).parquet(table))
 
 
+@query("stream_interval_ingest", PRODUCT_SQL)
+def stream_interval_ingest(spark, sf_dir):
+    """A running load that looks for new files at an interval; files arrive while it runs."""
+    folder, table = scratch_path(spark, "pipe"), scratch_path(spark, "products")
+    small = F.col("p_size") <= 25
+    product_files(spark, sf_dir, folder, small)
+    running = ingest(spark, folder, PRODUCT_SCHEMA, table, scratch_path(spark, "pipe-checkpoint"), every="1 second")
+    running.processAllAvailable()
+    product_files(spark, sf_dir, folder, ~small)
+    running.processAllAvailable()
+    running.stop()
+    return plain(spark.read.schema(PRODUCT_SCHEMA).parquet(table))
+
+
 def change_stream(spark, sf_dir):
     """Both feeds of the orders versions as files, read a few at a time."""
     folder = scratch_path(spark, "feeds")

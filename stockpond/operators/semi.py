@@ -7,9 +7,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from stockpond.functions.scalars import variant_type
 
 
-def parse_documents(df: DataFrame, text: str, alias: str = "doc") -> DataFrame:
-    """The text column as a VARIANT; malformed text gives NULL."""
-    return df.withColumn(alias, F.try_parse_json(text)).drop(text)
+def parse_documents(df: DataFrame, text: str, alias: str = "doc", strict: bool = False) -> DataFrame:
+    """The text column as a VARIANT; malformed text gives NULL, or fails the query if ``strict``."""
+    parse = F.parse_json if strict else F.try_parse_json
+    return df.withColumn(alias, parse(text)).drop(text)
 
 
 def path(doc: Column | str, json_path: str, data_type: str) -> Column:

@@ -112,6 +112,13 @@ def test_sum_by_name(documents):
     assert {r.name: r.s for r in sums.collect()} == {"Mia": money("42.50"), "Noor": money(8), "Pavel": money("19.99")}
 
 
+def test_strict_parsing_fails(spark):
+    raw = spark.createDataFrame([('{"a": 1}',), ("not json",)], "t string")
+    assert semi.parse_documents(raw, "t").where("doc IS NULL").count() == 1
+    with pytest.raises(Exception):
+        semi.parse_documents(raw, "t", strict=True).select(F.to_json("doc")).collect()
+
+
 def test_types(spark):
     raw = spark.createDataFrame([('{"a": 1}',), ("[1]",), ('"x"',), ("1",), ("true",), ("null",), ("1.5",)], "t string")
     kinds = [r[0] for r in semi.parse_documents(raw, "t").select(variant_type(F.col("doc"))).collect()]
