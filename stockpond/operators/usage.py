@@ -32,7 +32,7 @@ def usage_share(metering: DataFrame) -> DataFrame:
 def budget_crossings(metering: DataFrame, quota: float, thresholds: dict[str, float]) -> DataFrame:
     """First time in each month at which the running credits reach a share of the quota.
 
-    Credits are never negative. A month may hold most of the rows, so it is narrowed in
+    A credit below zero fails the query: the search relies on running sums that never fall. A month may hold most of the rows, so it is narrowed in
     steps: the running sum over days finds the day a threshold is crossed, only that day is
     summed by minute, and only that minute row by row.
     """
@@ -65,7 +65,10 @@ def budget_crossings(metering: DataFrame, quota: float, thresholds: dict[str, fl
 
     keys = ["month", "action"]
     # Thresholds times days: a handful of rows per month, exploded after the daily sums.
-    daily = rows.groupBy("month", "day").agg(F.sum("credits_used").alias("credits_used"))
+    daily = rows.groupBy("month", "day").agg(F.sum("credits_used").alias("credits_used"), F.min("credits_used").alias("_least"))
+    kind = daily.schema["credits_used"].dataType
+    refused = F.raise_error(F.lit("a credit is below zero")).cast(kind)
+    daily = daily.select("month", "day", F.when(F.col("_least") < 0, refused).otherwise(F.col("credits_used")).alias("credits_used"))
     by_day = crossing(daily.select("*", limits.alias("l")).select("month", "day", "credits_used", "l.*"), keys, "day")
     # One row per month and threshold, bounded by the calendar, so both joins may broadcast.
     in_day = rows.join(F.broadcast(by_day.select(*keys, "day", "needed")), ["month", "day"])

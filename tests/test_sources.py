@@ -204,6 +204,11 @@ def metering(spark):
     )
 
 
+def test_credits_below_zero_are_refused(metering):
+    with pytest.raises(Exception, match="below zero"):
+        usage.budget_crossings(metering.withColumn("credits_used", (-F.col("credits_used")).cast(metering.schema["credits_used"].dataType)), 50, {"NOTIFY": 0.75}).collect()
+
+
 def test_budget(metering):
     crossed = {(str(r.month), r.action): str(r.crossed_at) for r in usage.budget_crossings(metering, 50, {"NOTIFY": 0.75, "SUSPEND": 1.0}).collect()}
     assert crossed == {
