@@ -30,8 +30,10 @@ def tokens(line: Column) -> Column:
 
 def _lines(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     """``_digest``, ``_id``, ``at`` (place of the line from 0), ``tokens``, ``leaf`` of every line that is long enough."""
-    line = docs.select(row_digest(id_col, text).alias("_digest"), F.col(id_col).alias("_id"), F.posexplode_outer(F.split(text, "\n")).alias("at", "line"))
-    cut = line.where("line IS NOT NULL").select("_digest", "_id", "at", tokens(F.col("line")).alias("tokens"))
+    # Tokens are made before the explode: filters on what an explode gives stay above it, so no line is cut twice.
+    cut = docs.select(
+        row_digest(id_col, text).alias("_digest"), F.col(id_col).alias("_id"), F.posexplode_outer(F.transform(F.split(text, "\n"), tokens)).alias("at", "tokens")
+    ).where("tokens IS NOT NULL")
     leaf = F.xxhash64(F.size("tokens"), *[F.get("tokens", F.lit(i)) for i in range(LEADING)])
     return cut.select("_digest", "_id", "at", "tokens", F.size("tokens").alias("n"), leaf.alias("leaf"))
 
