@@ -103,10 +103,12 @@ def digests(parts: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join([xxhash.xxh3_128_digest(p) for p in parts]), "<i8").reshape(-1, 2)
 
 
-def maximal_repeats(segments: list[bytes], windows: list[int], length: int, rolling: Rolling) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def maximal_repeats(segments: list[bytes], windows: list[int], length: int, rolling: Rolling, every: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """All occurrences of all maximal repeats of at least ``length`` bytes: segment, offset, length of the repeat, number of the repeat.
 
     Segments are different from each other; suffixes start in the first ``windows`` bytes of each.
+    Repeats are nested, so a suffix can be in many; without ``every`` only two occurrences of a
+    segment come back: its first one, with the longest repeat there, and the one that reaches furthest.
     """
     none = tuple(np.zeros(0, np.int64) for _ in range(4))
     sizes = np.array([len(s) for s in segments])
@@ -159,6 +161,19 @@ def maximal_repeats(segments: list[bytes], windows: list[int], length: int, roll
     if not found:
         return none
     spans = np.array(found)
+    if not every:
+        deepest = np.full(len(at), -1)
+        for number, (_, low, high) in enumerate(found):  # inner intervals come first
+            inside = deepest[low:high]
+            inside[inside < 0] = number
+        row = np.flatnonzero(deepest >= 0)
+        reach = offset[row] + spans[deepest[row], 0]
+        edges = []
+        for rank in (offset[row], -reach):
+            sorted_ = row[np.lexsort((rank, owner[row]))]
+            edges.append(sorted_[np.r_[True, np.diff(owner[sorted_]) != 0]])
+        row = np.unique(np.concatenate(edges))
+        return owner[row], offset[row], spans[deepest[row], 0], deepest[row]
     members = spans[:, 2] - spans[:, 1]
     number = np.repeat(np.arange(len(spans)), members)
     row = np.arange(len(number)) - np.repeat(np.cumsum(members) - members, members) + spans[number, 1]
@@ -194,12 +209,12 @@ def _segments(docs: DataFrame, length: int, gram: int) -> DataFrame:
     return source.mapInArrow(run, schema)
 
 
-def _compared(pieces: DataFrame, length: int) -> DataFrame:
+def _compared(pieces: DataFrame, length: int, every: bool) -> DataFrame:
     """Maximal repeats among the different ``pieces`` (``bucket``, ``p1``, ``p2``, ``windows``, ``data``) of each bucket."""
 
     def solved(rows: pd.DataFrame, rolling: Rolling) -> pd.DataFrame:
         data = rows["data"].tolist()
-        owner, offset, size, number = maximal_repeats(data, rows["windows"].tolist(), length, rolling)
+        owner, offset, size, number = maximal_repeats(data, rows["windows"].tolist(), length, rolling, every)
         names = {}
         for o, a, n, g in zip(owner.tolist(), offset.tolist(), size.tolist(), number.tolist()):
             if g not in names:
@@ -269,9 +284,9 @@ def _bucket_sizes(pieces: DataFrame) -> DataFrame:
     return pieces.join(sizes, "bucket")
 
 
-def _repeats_in(pieces: DataFrame, length: int, cuts: tuple[int, ...]) -> DataFrame:
+def _repeats_in(pieces: DataFrame, length: int, cuts: tuple[int, ...], every: bool) -> DataFrame:
     """``p1``, ``p2``, ``repeat``, ``offset``, ``length`` for the different pieces of buckets with more than one."""
-    out = _compared(pieces.where(F.col("different") <= BUCKET), length)
+    out = _compared(pieces.where(F.col("different") <= BUCKET), length, every)
     large = pieces.where(F.col("different") > BUCKET)
     if not cuts or large.isEmpty():
         return out
@@ -280,8 +295,10 @@ def _repeats_in(pieces: DataFrame, length: int, cuts: tuple[int, ...]) -> DataFr
     same = materialize(same.withColumnsRenamed({"q1": "p1", "q2": "p2"}), "different-pieces")
     whole = same.where("copies > 1").select("p1", "p2", F.xxhash64("p1", "p2").alias("repeat"), F.lit(0).alias("offset"), (F.col("windows") + length - 1).alias("length"))
     if cuts[1:]:
-        whole = whole.unionByName(_repeats_in(materialize(_bucket_sizes(same), "piece-buckets"), length, cuts[1:]))
+        whole = whole.unionByName(_repeats_in(materialize(_bucket_sizes(same), "piece-buckets"), length, cuts[1:], every))
     inner = materialize(whole, "piece-repeats").withColumnsRenamed({"p1": "q1", "p2": "q2"})
+    if not every:
+        inner = inner.groupBy("q1", "q2").agg(F.lit(None).cast("bigint").alias("repeat"), F.min("offset").alias("offset"), (F.max(F.col("offset") + F.col("length")) - F.min("offset")).cast("int").alias("length"))
     mapped = uses.select("q1", "q2", "p1", "p2", "shift").join(inner, ["q1", "q2"]).select("p1", "p2", "repeat", (F.col("offset") + F.col("shift")).alias("offset"), "length")
     return out.unionByName(mapped)
 
@@ -295,7 +312,7 @@ def _same_row(left: DataFrame, right: DataFrame) -> Column:
     return left["_id"].eqNullSafe(right["_id"]) & (left["_hash"] == right["_hash"])
 
 
-def _repeats(docs: DataFrame, length: int, gram: int) -> tuple[DataFrame, DataFrame]:
+def _repeats(docs: DataFrame, length: int, gram: int, every: bool) -> tuple[DataFrame, DataFrame]:
     """Occurrences of segments whose anchor is not unique, and the repeats in each different segment."""
     segments = materialize(_segments(docs, length, gram), "segments")
     keys = materialize(segments.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "repeated-anchors")
@@ -315,7 +332,7 @@ def _repeats(docs: DataFrame, length: int, gram: int) -> tuple[DataFrame, DataFr
         F.substring(F.col("_text").cast("binary"), F.col("start") + 1, F.col("windows") + length - 1).alias("data"),
     )
     pieces = materialize(fetched.dropDuplicates(["bucket", "p1", "p2"]), "segment-bytes")
-    found = materialize(whole.unionByName(_repeats_in(pieces, length, PIECES)), "repeats")
+    found = materialize(whole.unionByName(_repeats_in(pieces, length, PIECES, every)), "repeats")
     return shared, found.withColumnsRenamed({"p1": "s1", "p2": "s2"})
 
 
@@ -325,7 +342,7 @@ def repeat_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", l
     A repeat is maximal within the segments of its anchor; a longer common stretch comes as a chain of
     overlapping repeats. Null texts count as empty; shorter texts than ``length`` have none.
     """
-    shared, found = _repeats(_prepared(docs, id_col, text), length, gram)
+    shared, found = _repeats(_prepared(docs, id_col, text), length, gram, True)
     return shared.join(found, ["s1", "s2"]).select("repeat", "length", F.col("_id").alias(id_col), (F.col("start") + F.col("offset")).alias("start"))
 
 
@@ -353,7 +370,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     empty. Rows that share an id are told apart by their texts; equal rows are copies of each other.
     """
     rows = _prepared(docs, id_col, text)
-    shared, found = _repeats(rows, length, gram)
+    shared, found = _repeats(rows, length, gram, False)
     # Repeats of a segment all overlap: each is longer than a segment has windows.
     cover = materialize(found.groupBy("s1", "s2").agg(F.min("offset").alias("low"), F.max(F.col("offset") + F.col("length")).alias("high")), "covered")
     spans = shared.join(cover, ["s1", "s2"]).select("_id", "_hash", F.struct((F.col("start") + F.col("low")).alias("a"), (F.col("start") + F.col("high")).alias("b")).alias("span"))
