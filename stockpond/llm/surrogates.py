@@ -236,14 +236,27 @@ def assign(entities: DataFrame, key: bytes) -> DataFrame:
     return given
 
 
+def _suspects(text: Column) -> Column:
+    """Native form of ``_suspect``: false only for texts without an entity."""
+    signs = text.rlike(r"[\p{Nd}@]")
+    for word in GENDERS:
+        signs = signs | text.contains(word)
+    for word in WORDS[len(GENDERS) :]:
+        signs = signs | F.lower(text).contains(word)
+    return F.coalesce(signs, F.lit(False))
+
+
 def with_surrogates(docs: DataFrame, key: bytes, id_col: str = "doc_id", text: str = "text", replaced: str | None = None) -> DataFrame:
     """``docs`` with every entity in ``text`` replaced; ``replaced`` names a column for how many there were.
 
     Rows and other columns stay as they are, and so do texts without entities, null and empty ones.
-    The same ``key`` and the same documents give the same texts on every run.
+    The same ``key`` and the same documents give the same texts on every run. Only texts that
+    show a sign of an entity are searched and joined with their surrogates; the others are not shuffled.
     """
+    suspect = _suspects(F.col(text))
+    marked = docs.where(suspect)
     places = materialize(
-        docs.select(row_digest(id_col, text).alias("_digest"), _found(F.col(text)).alias("m")).where(F.size("m") > 0).dropDuplicates(["_digest"]), "mentions"
+        marked.select(row_digest(id_col, text).alias("_digest"), _found(F.col(text)).alias("m")).where(F.size("m") > 0).dropDuplicates(["_digest"]), "mentions"
     )
     listed = places.select("_digest", F.explode("m").alias("m")).select("_digest", "m.*")
     given = assign(listed.select("kind", "normal"), key)
@@ -251,7 +264,7 @@ def with_surrogates(docs: DataFrame, key: bytes, id_col: str = "doc_id", text: s
     swaps = listed.join(given, ["kind", "normal"]).groupBy("_digest").agg(F.sort_array(F.collect_list(F.struct("at", "length", "kind", "surrogate"))).alias("_swaps"))
     digest, name = free_name(docs, "_digest"), free_name(docs, "_swaps")
     swaps = materialize(swaps.withColumnsRenamed({"_digest": digest, "_swaps": name}), "swaps")
-    joined = docs.withColumn(digest, row_digest(id_col, text)).join(swaps, digest, "left")
+    joined = marked.withColumn(digest, row_digest(id_col, text)).join(swaps, digest, "left")
 
     @F.pandas_udf(StringType())
     def swap(texts: pd.Series, lists: pd.Series) -> pd.Series:
@@ -265,9 +278,9 @@ def with_surrogates(docs: DataFrame, key: bytes, id_col: str = "doc_id", text: s
             out.append("".join(pieces) + body[end:])
         return pd.Series(out)
 
-    none = F.col(name).isNull()
-    # Only texts with entities go through Python; the others are passed as null and kept.
-    changed = swap(F.when(~none, F.col(text)).otherwise(F.lit("")), F.coalesce(name, F.array().cast("array<struct<at:int,length:int,kind:string,surrogate:string>>")))
+    none = F.array().cast("array<struct<at:int,length:int,kind:string,surrogate:string>>")
+    changed = joined.withColumn(name, F.coalesce(name, none)).withColumn(text, swap(F.col(text), F.col(name)))
+    clear = docs.where(~suspect)
     if replaced:
-        joined = joined.withColumn(replaced, F.when(none, 0).otherwise(F.size(name)))
-    return joined.withColumn(text, F.when(none, F.col(text)).otherwise(changed)).drop(digest, name)
+        changed, clear = changed.withColumn(replaced, F.size(name)), clear.withColumn(replaced, F.lit(0))
+    return clear.unionByName(changed.drop(digest, name))
