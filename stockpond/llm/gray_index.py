@@ -28,7 +28,7 @@ SHINGLE = 4
 SEED = 42
 BITS = 64
 BLOCKS = 6
-PAIRS_AT_ONCE = 1 << 19
+PAIRS_AT_ONCE = 1 << 16
 
 
 def fingerprint(words: list[bytes], size: int = SHINGLE) -> int:
