@@ -1,0 +1,160 @@
+"""One document of each group of near copies: five-word shingles of Jaccard similarity 0.8 or more.
+
+1. Documents with the same set of shingles are one class.
+2. Classes to compare come from two indexes: the Gray index over SimHash fingerprints, which holds
+   the closest ones, and MinHash bands, as a pair of similarity 0.8 differs in about 10 of 64 bits
+   of its fingerprints. Bands of ``ROWS`` minima miss such a pair with a chance of 5 in 10^8.
+3. A pair is linked only if the exact similarity of its sets reaches ``SIMILARITY``.
+
+Classes that are linked already need no look at each other. In each band one class is compared
+with those of other groups, round by round, until what is left is little or ``ROUNDS`` are over; then all pairs
+of classes that share a band and are in different groups are compared.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import xxhash
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
+
+from stockpond.llm.components import connected
+from stockpond.llm.gray_index import fingerprint_links, signed, text_fingerprint
+from stockpond.llm.native import free_name, row_digest, with_shingles
+from stockpond.session import materialize
+
+SHINGLE = 5
+SIMILARITY = (4, 5)
+BANDS = 32
+ROWS = 4
+ROUNDS = 4
+SHINGLES_AT_ONCE = 4096
+
+_draw = np.random.default_rng(42)
+SALTS = _draw.integers(0, 1 << 64, BANDS * ROWS, np.uint64)
+FACTORS = _draw.integers(0, 1 << 64, BANDS * ROWS, np.uint64) | np.uint64(1)
+MIXES = _draw.integers(0, 1 << 64, ROWS, np.uint64) | np.uint64(1)
+PROFILE = StructType([StructField("c", LongType()), StructField("n", IntegerType()), StructField("bands", ArrayType(LongType()))])
+
+
+def profile(shingles: np.ndarray) -> tuple[int, int, np.ndarray]:
+    """Key and size of the set of shingle hashes, and its key in each band."""
+    members = np.unique(shingles).view(np.uint64)
+    lowest = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(members), SHINGLES_AT_ONCE):
+        hashes = (members[at : at + SHINGLES_AT_ONCE, None] ^ SALTS) * FACTORS
+        hashes ^= hashes >> np.uint64(32)
+        np.minimum(lowest, hashes.min(axis=0), out=lowest)
+    keys = np.arange(BANDS, dtype=np.uint64)
+    for row, mix in zip(lowest.reshape(BANDS, ROWS).T, MIXES):
+        keys = (keys ^ row) * mix
+        keys ^= keys >> np.uint64(29)
+    return signed(xxhash.xxh64_intdigest(members.tobytes())), len(members), keys.view(np.int64)
+
+
+@F.pandas_udf(PROFILE)
+def profiles(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    """No shingles: no key and no bands."""
+    for batch in batches:
+        yield pd.DataFrame([profile(np.asarray(x, np.int64)) if len(x) else (None, 0, []) for x in batch], columns=PROFILE.names).astype({"c": "Int64"})
+
+
+def _likely(n: Column, m: Column) -> Column:
+    """Sets of these sizes can reach the similarity."""
+    return F.least(n, m) * SIMILARITY[1] >= F.greatest(n, m) * SIMILARITY[0]
+
+
+def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Those of ``pairs`` (``a``, ``b``, a written table) that reach the similarity."""
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct()
+    wanted = materialize(classes.select("c", F.col("first._digest").alias("_digest")).join(asked, "c", "left_semi"), "compared")
+    texts = docs.join(wanted, "_digest").dropDuplicates(["c"])
+    sets = materialize(with_shingles(texts, "_text", SHINGLE).select("c", F.array_distinct("shingles").alias("members")), "compared-sets")
+    both = pairs.join(sets.withColumnsRenamed({"c": "a", "members": "left"}), "a").join(sets.withColumnsRenamed({"c": "b", "members": "right"}), "b")
+    counted = both.select("a", "b", F.size(F.array_intersect("left", "right")).alias("shared"), (F.size("left") + F.size("right")).alias("all"))
+    return materialize(counted.where(F.col("shared") * SIMILARITY[1] >= (F.col("all") - F.col("shared")) * SIMILARITY[0]).select("a", "b"), "links")
+
+
+def _gray_pairs(classes: DataFrame) -> DataFrame:
+    """Each class with the first one of its group in the Gray index."""
+    prints = materialize(classes.select("fingerprint").distinct(), "classes")
+    labels = connected(fingerprint_links(prints)).withColumnRenamed("node", "fingerprint")
+    labelled = materialize(
+        classes.where("n > 0").select("c", "n", "fingerprint").join(labels, "fingerprint", "left").select("c", "n", F.coalesce("label", "fingerprint").alias("label")), "labelled"
+    )
+    first = materialize(labelled.groupBy("label").agg(F.min(F.struct("c", "n")).alias("first")), "first")
+    return labelled.join(first, "label").where((F.col("c") != F.col("first.c")) & _likely(F.col("n"), F.col("first.n"))).select(F.col("first.c").alias("a"), F.col("c").alias("b"))
+
+
+def _with_groups(entries: DataFrame, links: DataFrame) -> DataFrame:
+    """``entries`` of the bands that still hold classes of different groups, with the ``label`` of their group."""
+    labels = materialize(connected(links), "groups")
+    labelled = materialize(entries.select("c", "n", "band").join(labels.withColumnRenamed("node", "c"), "c", "left").withColumn("label", F.coalesce("label", "c")), "grouped-entries")
+    mixed = materialize(labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("band"), "mixed-bands")
+    return materialize(labelled.join(mixed, "band", "left_semi"), "open-entries")
+
+
+def _pairs_left(entries: DataFrame) -> tuple[int, int]:
+    """Entries, and pairs of entries of different groups in one band."""
+    own = entries.groupBy("band", "label").agg(F.count("*").alias("own"))
+    per_band = own.groupBy("band").agg(F.sum("own").alias("all"), F.sum(F.col("own") * F.col("own")).alias("same"))
+    row = per_band.agg(F.sum("all").alias("entries"), F.sum((F.col("all") * F.col("all") - F.col("same")) / 2).alias("pairs")).first()
+    return row.entries or 0, row.pairs or 0
+
+
+def _links(classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links ``a``, ``b`` that join all classes which can be reached over pairs of the similarity."""
+    entries = classes.select("c", "n", F.explode_outer("bands").alias("band")).where("band IS NOT NULL")
+    entries = materialize(entries, "bands")
+    crowded = materialize(entries.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band"), "crowded-bands")
+    entries = materialize(entries.join(crowded, "band", "left_semi"), "band-entries")
+    compared = materialize(_gray_pairs(classes).distinct(), "compared-pairs")
+    links = _linked(compared, classes, docs)
+    for number in range(ROUNDS + 1):
+        entries = _with_groups(entries, links)
+        count, left = _pairs_left(entries)
+        if not left:
+            break
+        last = number == ROUNDS or left <= 2 * count
+        if last:
+            one, other = (entries.select("band", *[F.col(x).alias(f"{x}_{side}") for x in ("c", "n", "label")]) for side in "ab")
+            pairs = one.join(other, "band").where((F.col("c_a") < F.col("c_b")) & (F.col("label_a") != F.col("label_b")) & _likely(F.col("n_a"), F.col("n_b"))).select(F.col("c_a").alias("a"), F.col("c_b").alias("b"))
+        else:
+            leader = F.min(F.struct(F.xxhash64("c", F.lit(number)).alias("order"), "c", "n", "label")).alias("leader")
+            leaders = materialize(entries.groupBy("band").agg(leader), "leaders")
+            pairs = entries.join(leaders, "band").where((F.col("label") != F.col("leader.label")) & _likely(F.col("n"), F.col("leader.n"))).select(
+                F.least("c", "leader.c").alias("a"), F.greatest("c", "leader.c").alias("b")
+            )
+        pairs = materialize(pairs.distinct().join(compared, ["a", "b"], "left_anti"), "pairs")
+        compared, links = compared.unionByName(pairs), links.unionByName(_linked(pairs, classes, docs))
+        if last:
+            break
+    return links
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of ``docs`` from each group of near copies, with its columns as they are.
+
+    Words are lower-cased runs of letters and digits; texts of fewer than five words are compared as a
+    whole, texts without any word (and null as the empty text) by their characters. Groups are what can be
+    reached over pairs of the similarity. The row with the smallest id stays (null after all
+    others); of rows that share this id, the one with the smallest digest of id and text; of equal rows, one.
+    """
+    rows = docs.select(F.col(id_col).alias("_id"), row_digest(id_col, text).alias("_digest"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    shingled = with_shingles(rows, "_text", SHINGLE).select("_id", "_digest", F.xxhash64("_text").alias("_hash"), text_fingerprint(F.col("_text")).alias("fingerprint"), profiles("shingles").alias("p"))
+    profiled = materialize(
+        shingled.select("_id", "_digest", "fingerprint", F.coalesce("p.c", F.col("_hash")).alias("c"), F.col("p.n").alias("n"), F.col("p.bands").alias("bands")), "profiles"
+    )
+    ranked = F.struct(F.col("_id").isNull().alias("no_id"), "_id", "_digest")
+    classes = materialize(
+        profiled.groupBy("c").agg(F.min(ranked).alias("first"), F.min("fingerprint").alias("fingerprint"), F.first("n").alias("n"), F.first("bands").alias("bands")), "set-classes"
+    )
+    labels = connected(_links(classes, rows)).withColumnRenamed("node", "c")
+    grouped = classes.select("c", "first").join(labels, "c", "left").groupBy(F.coalesce("label", "c").alias("label")).agg(F.min("first").alias("first"))
+    chosen = materialize(grouped.select(F.col("first._digest").alias("_digest")), "chosen")
+    name = free_name(docs, "_digest")
+    kept = docs.withColumn(name, row_digest(id_col, text)).join(chosen.withColumnRenamed("_digest", name), name, "left_semi")
+    return kept.dropDuplicates([name]).drop(name)

@@ -1,0 +1,76 @@
+"""Near copies against all pairs of shingle sets."""
+
+import random
+from itertools import combinations
+
+import corpus_pipeline
+from llm import brute
+from llm.conftest import prose
+from stockpond.llm import gray_index, near_copies
+
+
+def shingles(text):
+    words = brute.words(text)
+    return frozenset(tuple(words[i : i + 5]) for i in range(len(words) - 4)) or frozenset([tuple(words)] if words else [("", text or "")])
+
+
+def first_of_each(texts):
+    """Smallest id of each group linked at similarity 0.8 or more."""
+    sets, group = {i: shingles(t) for i, t in texts.items()}, {i: i for i in texts}
+
+    def root(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for a, b in combinations(sorted(texts), 2):
+        if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+            x, y = sorted((root(a), root(b)))
+            group[y] = x
+    return {root(i) for i in texts}
+
+
+def altered(text, draw, times):
+    words = text.split()
+    for _ in range(times):
+        words[draw.randrange(len(words))] = draw.choice(["alpha", "beta", "gamma", "delta"])
+    return " ".join(words)
+
+
+def frame(spark, texts):
+    return spark.createDataFrame(sorted(texts.items()), "doc_id bigint, text string")
+
+
+def test_copies_beyond_four_bits(spark):
+    draw, texts = random.Random(3), {}
+    for i in range(40):
+        texts[2 * i] = prose(900 + i, 120)
+        texts[2 * i + 1] = altered(texts[2 * i], draw, 1 + i % 4)
+    chain = prose(990, 150)
+    for i in range(100, 130):  # each close to the one before, not to the first
+        texts[i] = chain = altered(chain, draw, 1)
+    texts |= {200: "", 201: None, 202: "!!", 203: "one two", 204: "One, two", 205: "one two three", 206: "??"}
+    want = first_of_each(texts)
+    assert {r.doc_id for r in near_copies.one_of_each(frame(spark, texts)).collect()} == want
+    assert len({r.doc_id for r in gray_index.one_of_each(frame(spark, texts)).collect()} - want) > 5
+
+
+def test_crowd_is_compared_in_rounds(spark, monkeypatch):
+    draw, base = random.Random(5), prose(991, 100)
+    texts = {i: altered(base, draw, 1 + i % 4) for i in range(120)}
+    for rounds in (0, near_copies.ROUNDS):
+        monkeypatch.setattr(near_copies, "ROUNDS", rounds)
+        assert {r.doc_id for r in near_copies.one_of_each(frame(spark, texts)).collect()} == first_of_each(texts)
+
+
+def test_odd_rows(spark, mixed, none):
+    kept = near_copies.one_of_each(mixed)
+    assert kept.columns == mixed.columns and near_copies.one_of_each(none).count() == 0
+    nulls = spark.createDataFrame([(None, "a b"), (None, "a b"), (None, None)], "doc_id bigint, text string")
+    assert sorted(r.text or "" for r in near_copies.one_of_each(nulls).collect()) == ["", "a b"]
+
+
+def test_stage_keeps_one_of_each_group(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    kept = dict(corpus_pipeline.STAGES)["SimHash near-dedup"](spark, docs, sf_dir)
+    assert {r.doc_id for r in kept.collect()} == first_of_each({r.doc_id: r.text for r in docs.collect()})
