@@ -28,8 +28,22 @@ def tokens(line: Column) -> Column:
     return F.filter(F.split(fielded, SPACE), lambda t: t != "")
 
 
-def _lines(docs: DataFrame, id_col: str, text: str) -> DataFrame:
-    """``_digest``, ``_id``, ``at`` (place of the line from 0), ``tokens``, ``leaf`` of every line that is long enough."""
+def _lines(docs: DataFrame, id_col: str, text: str, fewest: int, short: bool) -> DataFrame:
+    """``_digest``, ``_id``, ``at`` (place of the line from 0), ``tokens``, ``leaf`` of every line that is judged.
+
+    With ``short`` a line of fewer than ``fewest`` tokens has all its tokens as they are for a path.
+    """
+    if short:
+        cut = docs.select(
+            row_digest(id_col, text).alias("_digest"), F.col(id_col).alias("_id"),
+            F.posexplode_outer(F.transform(F.split(text, "\n"), lambda line: F.struct(line.alias("line"), tokens(line).alias("tokens")))).alias("at", "cut"),
+        ).select("_digest", "_id", "at", "cut.line", "cut.tokens")
+        few = F.size("tokens") < fewest
+        as_is = F.filter(F.split("line", SPACE), lambda t: t != "")
+        cut = cut.where((~few) | F.col("line").rlike(r"\p{L}")).select("_digest", "_id", "at", F.when(few, as_is).otherwise(F.col("tokens")).alias("tokens"))
+        leading = F.xxhash64(F.size("tokens"), *[F.get("tokens", F.lit(i)) for i in range(LEADING)])
+        few = F.size("tokens") < fewest
+        return cut.select("_digest", "_id", "at", "tokens", F.size("tokens").alias("n"), F.when(few, F.xxhash64(F.size("tokens"), "tokens")).otherwise(leading).alias("leaf"))
     # Tokens are made before the explode: filters on what an explode gives stay above it, so no line is cut twice.
     cut = docs.select(
         row_digest(id_col, text).alias("_digest"), F.col(id_col).alias("_id"), F.posexplode_outer(F.transform(F.split(text, "\n"), tokens)).alias("at", "tokens")
@@ -39,20 +53,23 @@ def _lines(docs: DataFrame, id_col: str, text: str) -> DataFrame:
 
 
 def recurring_lines(
-    docs: DataFrame, id_col: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS, constant: tuple[int, int] = CONSTANT, fewest: int = FEWEST_TOKENS
+    docs: DataFrame, id_col: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS, constant: tuple[int, int] = CONSTANT, fewest: int = FEWEST_TOKENS,
+    short: bool = False,
 ) -> DataFrame:
     """Every line with a recurring template: ``_digest`` (of the document's id and text), ``_id``, ``at``, ``template``, ``n_docs``, ``first_doc``.
 
     Documents are told apart by id; a null id counts as one document that comes last. Null texts
-    have no lines. Lines of fewer than ``fewest`` tokens are too short for a template.
+    have no lines. Lines of fewer than ``fewest`` tokens are too short for a template: they stay, or
+    with ``short`` recur where all their tokens are equal and hold a letter. A line without spaces
+    is one token, whatever its script and length.
     Two passes: the first counts the lines of each leaf, the second looks at leaves with at least
     ``min_docs`` lines only, as no other can hold a template of that many documents.
     """
-    long_enough = F.col("n") >= fewest
-    crowds = materialize(_lines(docs, id_col, text).where(long_enough).groupBy("leaf").agg(F.count("*").alias("lines")).where(F.col("lines") >= min_docs).select("leaf"), "crowded-leaves")
+    long_enough = F.lit(True) if short else F.col("n") >= fewest
+    crowds = materialize(_lines(docs, id_col, text, fewest, short).where(long_enough).groupBy("leaf").agg(F.count("*").alias("lines")).where(F.col("lines") >= min_docs).select("leaf"), "crowded-leaves")
     crowded = bit_filter(crowds, "leaf")
     places = materialize(
-        _lines(docs, id_col, text).where(long_enough & may_hold(crowded, F.col("leaf")))
+        _lines(docs, id_col, text, fewest, short).where(long_enough & may_hold(crowded, F.col("leaf")))
         .join(crowds, "leaf", "left_semi")
         .select("_digest", "_id", "at", "leaf", "n", F.xxhash64("leaf", "tokens").alias("line"), "tokens"),
         "crowded-lines",
