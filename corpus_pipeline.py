@@ -18,7 +18,7 @@ def rank_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines whose template recurs across documents, short lines and lines without spaces included."""
-    return line_templates.without_recurring(docs, short=True)
+    return line_templates.without_recurring(docs, short=True, fields_count=False)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -54,14 +54,15 @@ def _lines(docs: DataFrame, id_col: str, text: str, fewest: int, short: bool) ->
 
 def recurring_lines(
     docs: DataFrame, id_col: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS, constant: tuple[int, int] = CONSTANT, fewest: int = FEWEST_TOKENS,
-    short: bool = False,
+    short: bool = False, fields_count: bool = True,
 ) -> DataFrame:
     """Every line with a recurring template: ``_digest`` (of the document's id and text), ``_id``, ``at``, ``template``, ``n_docs``, ``first_doc``.
 
     Documents are told apart by id; a null id counts as one document that comes last. Null texts
     have no lines. Lines of fewer than ``fewest`` tokens are too short for a template: they stay, or
     with ``short`` recur where all their tokens are equal and hold a letter. A line without spaces
-    is one token, whatever its script and length.
+    is one token, whatever its script and length. Without ``fields_count`` no variable field counts
+    as a constant token, wherever it stands, so that rows of numbers do not pass for one template.
     Two passes: the first counts the lines of each leaf, the second looks at leaves with at least
     ``min_docs`` lines only, as no other can hold a template of that many documents.
     """
@@ -78,6 +79,10 @@ def recurring_lines(
     counted = places.groupBy("leaf", "line").agg(F.count("*").alias("lines"), F.first("n").alias("n"), F.first("tokens").alias("tokens"))
     distinct = materialize(counted, "distinct-lines")
     fields = distinct.select("leaf", "line", "n", "lines", F.posexplode_outer("tokens").alias("place", "token")).withColumn("token", F.xxhash64("token"))
+    leading = F.lit(LEADING)
+    if not fields_count:
+        fields = fields.where(F.col("token") != F.xxhash64(F.lit(FIELD)))
+        leading = F.size(F.filter(F.slice("tokens", 1, LEADING), lambda t: t != FIELD))
     common = materialize(
         fields.where(F.col("place") >= LEADING).groupBy("leaf", "place", "token").agg(F.sum("lines").alias("having")).where(F.col("having") >= min_docs).select("leaf", "place", "token"),
         "constant-tokens",
@@ -87,8 +92,8 @@ def recurring_lines(
         F.count("*").alias("kept"), F.bit_xor(F.xxhash64("place", "token")).alias("pattern")
     )
     templates = (
-        distinct.select("leaf", "line", "n").join(constants, "line", "left")
-        .withColumn("kept", F.coalesce("kept", F.lit(0)) + F.lit(LEADING))
+        distinct.select("leaf", "line", "n", leading.alias("leading")).join(constants, "line", "left")
+        .withColumn("kept", F.coalesce("kept", F.lit(0)) + F.col("leading"))
         .where(F.col("kept") * constant[1] >= F.col("n") * constant[0])
         .select("line", F.xxhash64("leaf", F.coalesce("pattern", F.lit(0)), "kept").alias("template"))
     )

@@ -16,3 +16,10 @@ def test_short_lines_and_lines_without_spaces(spark):
     out = stage(spark, texts)
     assert out[0] == texts[0] and out[24] == texts[24] and out[25] == texts[25]
     assert all(out[i] == f"{own[i]}\nNote number {i}\n{{\n17 4\n" for i in range(1, 24))
+
+
+def test_rows_of_numbers_stay(spark):
+    rows = ["\n".join(f"{1990 + i} {i * j} {j}.5 {i + j} 1,{i:03} {j * 7}" for j in range(1, 5)) for i in range(30)]
+    texts = [f"{r}\nOrder {i} shipped to the {i % 4}-a depot on day {i}" for i, r in enumerate(rows)]
+    out = stage(spark, texts)
+    assert out[0] == texts[0] and all(out[i] == rows[i] for i in range(1, 30))
