@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stockpond.llm import bpe, decontaminate, line_templates, near_copies, quality
+from stockpond.llm import bpe, decontaminate, gray_index, line_templates, quality
 from stockpond.llm.queries import digests
 from stockpond.session import materialize
 from stockpond.sources.tables import read_table
@@ -22,8 +22,8 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word similarity 0.8 or more)."""
-    return near_copies.one_of_each(docs)
+    """One document of each group that SimHash fingerprints link: four-word shingles, four bits, as in the operator's own query."""
+    return gray_index.one_of_each(docs, radius=gray_index.RADIUS)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
