@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from stockpond.llm import bpe, decontaminate, fingerprints, gray_index, line_templates, quality, repeats, shards, surrogates, tool_calls
+from stockpond.llm import bpe, decontaminate, fingerprints, gray_index, line_templates, quality, repeats, secret_scan, shards, surrogates, tool_calls
 from stockpond.llm.registry import query
 from stockpond.session import materialize
 from stockpond.sources.tables import read_table
@@ -184,3 +184,20 @@ def tool_call_links(spark, sf_dir):
     tools = spark.createDataFrame(TOOLS, "name string, param string, type string, required boolean")
     rows = tool_calls.linked(derived_calls(turns), answers, tools)
     return rows.withColumn("errors", F.array_join("errors", "; "))
+
+
+def listed(spans):
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+@query("op13_secret_scan")
+def secrets(spark, sf_dir):
+    found = secret_scan.with_spans(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    of = lambda *kinds: F.filter("spans", lambda s: s["kind"].isin(*kinds))
+    base = ("assign", "access", "hex")
+    return found.select(
+        "doc_id",
+        *[F.size(of(kind)).cast("bigint").alias(f"n_{kind}") for kind in base],
+        F.sha2(listed(of(*base)), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
