@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from stockpond.llm import bpe, decontaminate, fingerprints, gray_index, line_templates, quality, repeats, secret_scan, shards, surrogates, tool_calls
+from stockpond.llm import bpe, decontaminate, fingerprints, gray_index, line_templates, quality, repeats, secret_scan, shards, spelling, surrogates, tool_calls
 from stockpond.llm.registry import query
 from stockpond.session import materialize
 from stockpond.sources.tables import read_table
@@ -186,6 +186,12 @@ def tool_call_links(spark, sf_dir):
     return rows.withColumn("errors", F.array_join("errors", "; "))
 
 
+@query("op11_spelling_variants")
+def spelling_variants(spark, sf_dir):
+    words = spelling.run_counts(read_table(spark, sf_dir, "documents"), spoil=199)
+    return spelling.variant_groups(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def listed(spans):
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
