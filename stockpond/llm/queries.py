@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from stockpond.llm import bpe, decontaminate, fingerprints, gray_index, line_templates, quality, repeats, secret_scan, shards, spelling, surrogates, tool_calls
+from stockpond.llm import bloom_search, bpe, decontaminate, fingerprints, gray_index, line_templates, quality, repeats, secret_scan, shards, spelling, surrogates, tool_calls
 from stockpond.llm.registry import query
 from stockpond.session import materialize
 from stockpond.sources.tables import read_table
@@ -192,6 +192,29 @@ def spelling_variants(spark, sf_dir):
     return spelling.variant_groups(words).select("word", "form", "root", "n", "n_near", "form_n")
 
 
+TERMS_SQL = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+@query(
+    "op12_bloom_search",
+    f"""WITH tf AS (SELECT doc_id, term, COUNT(*) AS tf FROM (SELECT doc_id, unnest({TERMS_SQL}) AS term FROM documents) GROUP BY ALL),
+lengths AS (SELECT doc_id, CAST(SUM(tf) AS BIGINT) AS n FROM tf GROUP BY doc_id),
+corpus AS (SELECT COUNT(*) AS n_docs, CAST(SUM(n) AS BIGINT) AS total FROM lengths),
+asked AS (SELECT item_id, term, COUNT(*) AS times FROM (SELECT item_id, unnest({TERMS_SQL}) AS term FROM benchmark) GROUP BY ALL),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * COUNT(*) + 1))) AS BIGINT) AS weight
+  FROM tf, corpus WHERE term IN (SELECT term FROM asked) GROUP BY term, n_docs),
+scores AS (
+  SELECT item_id, doc_id, CAST(SUM(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // total)))) AS BIGINT) AS score
+  FROM asked JOIN weights USING (term) JOIN tf USING (term) JOIN lengths USING (doc_id), corpus GROUP BY item_id, doc_id)
+SELECT item_id, CAST(ROW_NUMBER() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 20""",
+)
+def bloom_ranked(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bloom_search.search(read_table(spark, sf_dir, "benchmark"), docs)
+
+
 def listed(spans):
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
