@@ -23,8 +23,17 @@ def keyed_surrogates(spark, sf_dir):
 
 @query("op2_prefix_intervals")
 def prefix_intervals(spark, sf_dir):
+    """After the digest columns, what is left as text (a character that was cut in two becomes U+FFFD) and the share that went."""
     cleaned = repeats.without_repeats(read_table(spark, sf_dir, "documents"))
-    return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return cleaned.select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        "n_spans",
+        F.sha2("kept", 256).alias("kept_sha256"),
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("text"),
+        (F.col("n_removed") / F.greatest("n_bytes", F.lit(1))).alias("removed_share"),
+    )
 
 
 @query(

@@ -36,6 +36,8 @@ PIECES = (32, 1)
 # Bytes of text that one suffix array covers, and bytes whose hashes are worked out at once.
 ARRAY_BYTES = 1 << 18
 CHUNK = 1 << 20
+DIGESTS_AT_ONCE = 1 << 14
+ROWS_AT_ONCE = 1 << 16
 BASE = 0x9E3779B97F4A7C15
 PLACE_BITS = 21
 DIVERSE = -1
@@ -79,9 +81,8 @@ def window_minima(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[:n], ahead[width - 1 : width - 1 + n])
 
 
-def anchors(data: bytes, rolling: Rolling, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """Of each segment: hash at its anchor, first window, number of windows, place of the anchor from the first window."""
-    keys, starts, runs, places = [], [], [], []
+def anchors(data: bytes, rolling: Rolling, length: int, gram: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Of each segment: hash at its anchor, first window, number of windows, place of the anchor from the first window; chunk by chunk."""
     body = np.frombuffer(data, np.uint8)
     place = U64((1 << PLACE_BITS) - 1)
     for begin in range(0, max(0, len(body) - length + 1), CHUNK):
@@ -89,13 +90,21 @@ def anchors(data: bytes, rolling: Rolling, length: int, gram: int) -> tuple[np.n
         ranked = (hashes & ~place) | np.arange(len(hashes), dtype=U64)
         chosen = window_minima(ranked, length - gram + 1) & place
         first = np.flatnonzero(np.r_[True, chosen[1:] != chosen[:-1]])
-        keys.append(hashes[chosen[first]])
-        starts.append(begin + first)
-        runs.append(np.diff(np.r_[first, len(chosen)]))
-        places.append(chosen[first].astype(np.int64) - first)
-    if not keys:
-        return np.zeros(0, U64), *[np.zeros(0, np.int64)] * 3
-    return tuple(map(np.concatenate, (keys, starts, runs, places)))
+        yield hashes[chosen[first]], begin + first, np.diff(np.r_[first, len(chosen)]), chosen[first].astype(np.int64) - first
+
+
+def folded(data: bytes, rolling: Rolling, length: int, gram: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """The ``anchors``, with the digest of each segment's bytes and how many times in a row it comes.
+
+    Text of a short period has a segment for every period, all alike, which are one row. Digests
+    are made in bounded runs, as the segments of such text overlap by almost their whole length.
+    """
+    for keys, starts, runs, places in anchors(data, rolling, length, gram):
+        ends = (starts + runs + length - 1).tolist()
+        begins = starts.tolist()
+        marks = np.concatenate([digests([data[a:b] for a, b in zip(begins[i : i + DIGESTS_AT_ONCE], ends[i : i + DIGESTS_AT_ONCE])]) for i in range(0, len(begins), DIGESTS_AT_ONCE)])
+        new = np.flatnonzero(np.r_[True, (marks[1:] != marks[:-1]).any(axis=1) | (runs[1:] != runs[:-1])])
+        yield keys[new], marks[new], starts[new], runs[new], places[new], np.diff(np.r_[new, len(keys)])
 
 
 def digests(parts: list[bytes]) -> np.ndarray:
@@ -180,7 +189,7 @@ def maximal_repeats(segments: list[bytes], windows: list[int], length: int, roll
     return owner[row], offset[row], spans[number, 0], number
 
 
-SEGMENT = StructType([StructField("key", LongType()), StructField("s1", LongType()), StructField("s2", LongType()), StructField("start", IntegerType()), StructField("windows", IntegerType()), StructField("at", IntegerType())])
+SEGMENT = StructType([StructField("key", LongType()), StructField("s1", LongType()), StructField("s2", LongType()), StructField("start", IntegerType()), StructField("windows", IntegerType()), StructField("at", IntegerType()), StructField("times", IntegerType())])
 
 
 def _segments(docs: DataFrame, length: int, gram: int) -> DataFrame:
@@ -190,21 +199,25 @@ def _segments(docs: DataFrame, length: int, gram: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rolling = Rolling(CHUNK + length)
-        for batch in batches:
-            rows, columns = [], [[] for _ in range(5)]
-            for i, data in enumerate(batch.column("data").to_pylist()):
-                keys, starts, runs, places = anchors(data, rolling, length, gram)
-                if len(keys):
-                    rows.append(np.full(len(keys), i))
-                    marks = digests([data[a : a + n + length - 1] for a, n in zip(starts.tolist(), runs.tolist())])
-                    for column, values in zip(columns, (keys.view(np.int64), marks, starts, runs, places)):
-                        column.append(values)
-            if not rows:
-                continue
+
+        def sent(batch: pa.RecordBatch, rows: list[np.ndarray], parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
             take = pa.array(np.concatenate(rows))
-            keys, marks, starts, runs, places = map(np.concatenate, columns)
-            flat = [keys, marks[:, 0], marks[:, 1], *(x.astype(np.int32) for x in (starts, runs, places))]
-            yield pa.RecordBatch.from_arrays([batch.column("_id").take(take), batch.column("_hash").take(take), *map(pa.array, flat)], names=schema.names)
+            keys, marks, starts, runs, places, times = (np.concatenate(column) for column in zip(*parts))
+            flat = [keys.view(np.int64), marks[:, 0], marks[:, 1], *(x.astype(np.int32) for x in (starts, runs, places, times))]
+            return pa.RecordBatch.from_arrays([batch.column("_id").take(take), batch.column("_hash").take(take), *map(pa.array, flat)], names=schema.names)
+
+        for batch in batches:
+            rows, parts, held = [], [], 0
+            for i, data in enumerate(batch.column("data")):
+                for part in folded(data.as_py(), rolling, length, gram):
+                    rows.append(np.full(len(part[0]), i))
+                    parts.append(part)
+                    held += len(part[0])
+                    if held >= ROWS_AT_ONCE:
+                        yield sent(batch, rows, parts)
+                        rows, parts, held = [], [], 0
+            if held:
+                yield sent(batch, rows, parts)
 
     return source.mapInArrow(run, schema)
 
@@ -315,10 +328,10 @@ def _same_row(left: DataFrame, right: DataFrame) -> Column:
 def _repeats(docs: DataFrame, length: int, gram: int, every: bool) -> tuple[DataFrame, DataFrame]:
     """Occurrences of segments whose anchor is not unique, and the repeats in each different segment."""
     segments = materialize(_segments(docs, length, gram), "segments")
-    keys = materialize(segments.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "repeated-anchors")
+    keys = materialize(segments.groupBy("key").agg(F.sum("times").alias("n")).where("n > 1").select("key"), "repeated-anchors")
     shared = materialize(segments.join(keys, "key", "left_semi"), "shared-segments")
     different = shared.groupBy("key", "s1", "s2").agg(
-        F.count("*").alias("copies"), F.min("windows").alias("windows"), F.min("at").alias("at"), F.min(F.struct("_hash", "start", "_id")).alias("first")
+        F.sum("times").alias("copies"), F.min("windows").alias("windows"), F.min("at").alias("at"), F.min(F.struct("_hash", "start", "_id")).alias("first")
     )
     different = materialize(different, "different-segments")
     whole = different.where("copies > 1").select(
@@ -343,7 +356,9 @@ def repeat_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", l
     overlapping repeats. Null texts count as empty; shorter texts than ``length`` have none.
     """
     shared, found = _repeats(_prepared(docs, id_col, text), length, gram, True)
-    return shared.join(found, ["s1", "s2"]).select("repeat", "length", F.col("_id").alias(id_col), (F.col("start") + F.col("offset")).alias("start"))
+    # A segment that comes several times in a row is one row here.
+    begins = F.transform(F.sequence(F.lit(0), F.col("times") - 1), lambda n: F.col("start") + n * F.col("windows") + F.col("offset"))
+    return shared.join(found, ["s1", "s2"]).select("repeat", "length", F.col("_id").alias(id_col), F.explode(begins).alias("start"))
 
 
 CLEANED = StructType([StructField("kept", BinaryType()), StructField("n_removed", LongType()), StructField("n_spans", LongType())])
@@ -368,12 +383,14 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     A byte goes if a string of ``length`` bytes over it also starts elsewhere, in any document
     or row. All is judged on the texts as they are; no first copy is spared. Null texts are
     empty. Rows that share an id are told apart by their texts; equal rows are copies of each other.
+    Very long texts are worked off in chunks of ``CHUNK`` bytes; equal segments in a row, as in text of
+    one repeated letter, are one row. Other columns, whatever their names, are not looked at.
     """
     rows = _prepared(docs, id_col, text)
     shared, found = _repeats(rows, length, gram, False)
-    # Repeats of a segment all overlap: each is longer than a segment has windows.
+    # Repeats of a segment all overlap, also with those of the next of the same in a row: each is longer than a segment has windows.
     cover = materialize(found.groupBy("s1", "s2").agg(F.min("offset").alias("low"), F.max(F.col("offset") + F.col("length")).alias("high")), "covered")
-    spans = shared.join(cover, ["s1", "s2"]).select("_id", "_hash", F.struct((F.col("start") + F.col("low")).alias("a"), (F.col("start") + F.col("high")).alias("b")).alias("span"))
+    spans = shared.join(cover, ["s1", "s2"]).select("_id", "_hash", F.struct((F.col("start") + F.col("low")).alias("a"), (F.col("start") + (F.col("times") - 1) * F.col("windows") + F.col("high")).alias("b")).alias("span"))
     # At most one span for each segment of the text.
     per_doc = materialize(spans.groupBy("_id", "_hash").agg(F.collect_set("span").alias("spans")), "spans")
     joined = rows.join(per_doc, _same_row(rows, per_doc), "left").select(rows["_id"], F.col("_text").cast("binary").alias("data"), "spans")

@@ -113,6 +113,23 @@ def test_repeats_of_mixed_rows(spark, mixed, none):
     assert repeats.without_repeats(none).count() == 0
 
 
+def test_repeats_of_short_periods(spark):
+    """Text of one letter, of two, of a word, of a period that is longer than an anchor reaches; alone and inside other text."""
+    word, long = prose(70, 3), prose(71, 60)
+    texts = ["a" * 30_000, "ab" * 9_000, word * 700, long * 12, prose(72, 40) + "a" * 5_000 + prose(73, 40), "b" + "a" * 700, "ab" * 150 + "c" + "ab" * 400, "日" * 2_000, "xyz" * 133 + "x", "xyz" * 134]
+    check_repeats(spark, texts)
+    docs = spark.createDataFrame([(1, "a" * 1_000)], "doc_id bigint, text string")
+    assert {r.start for r in repeats.repeat_groups(docs).collect()} >= set(range(600))
+
+
+@pytest.mark.parametrize("period", ["a", "ab"])
+def test_short_periods_are_folded(period):
+    text = (period * (3_000_000 // len(period))).encode()
+    parts = list(repeats.folded(text, repeats.Rolling(repeats.CHUNK + 400), 400, 100))
+    keys, marks, starts, runs, places, times = map(np.concatenate, zip(*parts))
+    assert len(keys) < 20 and (runs * times).sum() == len(text) - 399
+
+
 def test_maximal_repeats_are_groups_with_all_occurrences():
     core = prose(5, 100).encode()[:450]
     segments = [b"a" + core + b"xyz" * 40, b"b" + core + b"xyz" * 39 + b"q" * 9, b"c" + core + b"w" * 120]
@@ -135,7 +152,7 @@ def test_repeat_groups_list_real_occurrences(spark):
 def test_long_text_in_chunks(monkeypatch):
     monkeypatch.setattr(repeats, "CHUNK", 700)
     data = prose(9, 1500).encode()
-    keys, starts, runs, places = repeats.anchors(data, repeats.Rolling(1 << 12), 400, 100)
+    keys, starts, runs, places = map(np.concatenate, zip(*repeats.anchors(data, repeats.Rolling(1 << 12), 400, 100)))
     assert starts[0] == 0 and (starts[1:] == starts[:-1] + runs[:-1]).all() and starts[-1] + runs[-1] == len(data) - 399
     assert ((places >= 0) & (places - runs + 1 + 300 >= 0)).all()
 
