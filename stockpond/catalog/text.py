@@ -69,16 +69,14 @@ def keyword_retrieve(spark, sf_dir):
 
 
 def hybrid_sql(where: str) -> str:
-    # All word matches, and the K most similar vectors of the cells of retrieve.vector_candidates.
+    # All word matches, and the K most similar of all vectors.
     return f"""WITH {SCORES_SQL.format(where=where)},
-    cells AS (SELECT vec_id, embedding::DOUBLE[] AS v, CASE WHEN embedding[1] > 0 THEN 1 ELSE 0 END AS c1, CASE WHEN embedding[2] > 0 THEN 1 ELSE 0 END AS c2 FROM embeddings),
+    vectors AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
     likeness AS (
-      SELECT q.vec_id AS question_id, d.vec_id AS doc_id,
-             CAST(ROUND(COALESCE(list_cosine_similarity(d.v, q.v), 0) * 1000000) AS BIGINT) AS similarity,
-             ABS(d.c1 - q.c1) + ABS(d.c2 - q.c2) <= 1 AS near
-      FROM cells q JOIN benchmark ON item_id = q.vec_id, cells d JOIN corpus ON corpus.doc_id = d.vec_id),
+      SELECT q.vec_id AS question_id, d.vec_id AS doc_id, CAST(ROUND(COALESCE(list_cosine_similarity(d.v, q.v), 0) * 1000000) AS BIGINT) AS similarity
+      FROM vectors q JOIN benchmark ON item_id = q.vec_id, vectors d JOIN corpus ON corpus.doc_id = d.vec_id),
     by_vector AS (
-      SELECT question_id, doc_id FROM likeness WHERE near
+      SELECT question_id, doc_id FROM likeness
       QUALIFY ROW_NUMBER() OVER (PARTITION BY question_id ORDER BY similarity DESC, doc_id) <= {K}),
     candidates AS (SELECT question_id, doc_id FROM scores UNION SELECT question_id, doc_id FROM by_vector),
     hybrid AS (

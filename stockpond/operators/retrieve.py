@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from collections.abc import Iterator
+from itertools import batched
+
+import ahocorasick
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from stockpond.functions.scalars import cosine, first_group, search_tokens, try_to_number
+from stockpond.operators.vectors import build, nearest
 from stockpond.session import materialize
 
 # The instruction put before the retrieved context, and the empty answer.
@@ -22,10 +29,9 @@ INVOICE_PATTERNS = {
     "amount_due": r"Amount Due:\s*([0-9.]+)",
 }
 
-GRAM = 4
+# Searched words that one automaton holds.
+TOKENS_AT_ONCE = 50_000
 SCORE_UNIT = 1_000_000
-# Components whose signs name the cell of a vector.
-CELL_BITS = 2
 
 
 def extract_fields(docs: DataFrame, text: str, patterns: dict[str, str], numeric: tuple[str, ...] = ()) -> DataFrame:
@@ -46,21 +52,38 @@ def question_tokens(questions: DataFrame) -> DataFrame:
 def matched_tokens(docs: DataFrame, tokens: DataFrame) -> DataFrame:
     """(doc_id, token): which of the searched words occur anywhere in each document.
 
-    A searched word is letters and digits only, so it lies within one such run of the text. Runs
-    and words are compared once per different run of the corpus, where they share the first four
-    characters of the word; the few runs that match are joined back to their documents.
+    One automaton over all searched words finds them in one scan of each lower-cased text, so no
+    word of the corpus is shuffled. The words come to the tasks in blocks of ``TOKENS_AT_ONCE``,
+    each of which scans the documents once.
     """
-    runs = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("([a-z0-9]{4,})"), F.lit(1)))
-    words = docs.select("doc_id", F.explode(runs).alias("word"))
-    grams = F.array_distinct(F.regexp_extract_all("word", F.lit(f"(?=(.{{{GRAM}}}))"), F.lit(1)))
-    vocabulary = words.select("word").distinct().select("word", F.explode(grams).alias("gram"))
-    searched = tokens.select("token").distinct().withColumn("gram", F.substring("token", 1, GRAM))
-    found = vocabulary.join(searched, "gram").where(F.col("word").contains(F.col("token"))).select("word", "token").distinct()
-    return words.join(materialize(found, "matched-words"), "word").select("doc_id", "token").distinct()
+    lowered = docs.select("doc_id", F.lower("text").alias("text"))
+    schema = StructType([lowered.schema["doc_id"], StructField("token", StringType())])
+
+    def scan(words: list[str]) -> DataFrame:
+        def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            automaton = ahocorasick.Automaton()
+            for word in words:
+                automaton.add_word(word, word)
+            automaton.make_automaton()
+            for batch in batches:
+                rows, found = [], []
+                for i, text in enumerate(batch.column("text")):
+                    words_here = {word for _, word in automaton.iter(text.as_py() or "")}
+                    rows += [i] * len(words_here)
+                    found += words_here
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(rows, pa.int64())), pa.array(found, pa.string())], names=schema.names)
+
+        return lowered.mapInArrow(find, schema)
+
+    searched = tokens.where("token <> ''").select("token").distinct()
+    matches = lowered.select("doc_id", F.lit("").alias("token")).limit(0)
+    for block in batched(searched.toLocalIterator(), TOKENS_AT_ONCE):
+        matches = matches.unionByName(scan([r.token for r in block]))
+    return matches.distinct()
 
 
 def question_weights(questions: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The words of each question that occur, rarest first, and the documents they occur in.
+    """The words of each question that occur, with the number of documents they occur in, and these documents.
 
     A word weighs ln((1 + N) / (df + 0.5)) for each time it is asked, in whole millionths so that
     the order of summation cannot change a score; ``rest`` is the weight of all commoner words.
@@ -74,44 +97,30 @@ def question_weights(questions: DataFrame, docs: DataFrame) -> tuple[DataFrame,
     rarest_first = Window.partitionBy("question_id").orderBy("df", "token")
     later = rarest_first.rowsBetween(1, Window.unboundedFollowing)
     weighted = asked.join(frequency, "token").select("question_id", "token", "df", weight.alias("weight"))
-    placed = weighted.withColumns(
-        {"place": F.row_number().over(rarest_first), "rest": F.coalesce(F.sum("weight").over(later), F.lit(0))}
-    )
-    return materialize(placed.drop("df"), "question-weights"), matches
+    return materialize(weighted.withColumn("rest", F.coalesce(F.sum("weight").over(later), F.lit(0))), "question-weights"), matches
 
 
 def lexical_candidates(weights: DataFrame, matches: DataFrame, k: int, margin: int = 0) -> DataFrame:
     """(question_id, doc_id, score): the ``k`` best documents of each question and all within ``margin`` of them.
 
-    The words of a question are expanded to documents from the rarest on. A document without
-    any of the words so far can score the rest at most; once the k-th best is above that, no
-    commoner word can bring a document in, so it is only looked up for the candidates. The rounds
-    end with the last question, at the latest with its last word.
+    A word in ``k`` documents or more gives ``k`` documents its weight, so the heaviest such word is a
+    bar that the k-th best reaches. The commonest words whose weights together stay below it bring in no
+    document by themselves. One round expands the other words to documents; a second one looks the
+    common words up for those documents that can still reach the k-th best of the first.
     """
-    spark = weights.sparkSession
-    open_ = weights.select("question_id").distinct()
-    kept = spark.createDataFrame([], "question_id bigint, doc_id bigint").select(
-        *[F.col(c).cast(t) for c, t in (("question_id", weights.schema["question_id"].dataType), ("doc_id", matches.schema["doc_id"].dataType))]
-    )
-    partial = kept.withColumn("score", F.lit(0).cast("bigint"))
-    place = 0
-    while not open_.isEmpty():
-        place += 1
-        words = materialize(weights.where(F.col("place") == place).join(open_, "question_id"), "open-words")
-        more = matches.join(words, "token").select("question_id", "doc_id", F.col("weight").alias("score"))
-        partial = partial.join(words.select("question_id"), "question_id", "left_semi").unionByName(more)
-        partial = materialize(partial.groupBy("question_id", "doc_id").agg(F.sum("score").alias("score")), "partial-scores")
-        floor = best_k(partial, k).groupBy("question_id").agg(F.when(F.count("*") == k, F.min("score")).alias("floor"))
-        state = materialize(words.select("question_id", "rest").join(floor, "question_id", "left"), "question-state")
-        # Without words left there is nothing to expand: then all scores are whole.
-        settled = state.where((F.col("rest") == 0) | (F.col("floor") - margin > F.col("rest")))
-        reach = F.col("score") + F.col("rest") >= F.coalesce(F.col("floor") - margin, F.lit(0))
-        done = partial.join(settled, "question_id").where(reach).select("question_id", "doc_id")
-        kept = kept.unionByName(materialize(done, "settled-candidates"))
-        open_ = materialize(state.select("question_id").join(settled.select("question_id"), "question_id", "left_anti"), "open-questions")
-        partial = materialize(partial.join(open_, "question_id", "left_semi"), "open-scores")
-    asked = kept.join(weights.select("question_id", "token", "weight"), "question_id")
-    return asked.join(matches, ["doc_id", "token"]).groupBy("question_id", "doc_id").agg(F.sum("weight").alias("score"))
+    of_question = Window.partitionBy("question_id")
+    bar = F.max(F.when(F.col("df") >= k, F.col("weight"))).over(of_question) - margin
+    split = weights.withColumn("needed", F.coalesce(F.col("rest") + F.col("weight") >= bar, F.lit(True)))
+    needed = split.where("needed").select("question_id", "token", "weight")
+    common = split.where("NOT needed").select("question_id", "token", "weight")
+    first = matches.join(needed, "token").groupBy("question_id", "doc_id").agg(F.sum("weight").alias("score"))
+    floors = best_k(first, k).groupBy("question_id").agg(F.when(F.count("*") == k, F.min("score") - margin).alias("floor"))
+    rest = common.groupBy("question_id").agg(F.sum("weight").alias("rest"))
+    reach = floors.join(rest, "question_id", "left").select("question_id", (F.col("floor") - F.coalesce("rest", F.lit(0))).alias("least"))
+    kept = first.join(reach, "question_id").where("coalesce(score >= least, true)").drop("least")
+    looked_up = kept.join(common, "question_id").select("question_id", "doc_id", "token", "weight").join(matches, ["doc_id", "token"])
+    both = kept.unionByName(looked_up.select("question_id", "doc_id", F.col("weight").alias("score")))
+    return both.groupBy("question_id", "doc_id").agg(F.sum("score").alias("score"))
 
 
 def best_k(scores: DataFrame, k: int) -> DataFrame:
@@ -124,37 +133,14 @@ def keyword_retrieve(questions: DataFrame, docs: DataFrame, k: int = 3) -> DataF
     return best_k(lexical_candidates(*question_weights(questions, docs), k), k)
 
 
-def cell(vector: Column, bits: int) -> Column:
-    """Number of the orthant of the first ``bits`` components."""
-    number = F.lit(0)
-    for i in range(bits):
-        number = number + F.when(F.get(vector, F.lit(i)) > 0, 1 << i).otherwise(0)
-    return number
-
-
-def vector_candidates(questions: DataFrame, vectors: DataFrame, k: int, bits: int = CELL_BITS) -> DataFrame:
-    """(question_id, doc_id): the ``k`` documents with the most similar vectors in the cell of the question and those next to it.
-
-    An approximate search over ``2 ** bits`` cells, of which ``bits + 1`` are looked into; choose
-    ``bits`` so that a cell holds a few thousand vectors.
-    """
-    near = F.transform(F.array(F.lit(0), *[F.lit(1 << i) for i in range(bits)]), lambda flip: F.col("_cell").bitwiseXOR(flip))
-    asked = questions.where("vector IS NOT NULL").select("question_id", F.col("vector").alias("_question_vector"), cell(F.col("vector"), bits).alias("_cell"))
-    probes = asked.select("question_id", "_question_vector", F.explode(near).alias("_cell"))
-    placed = vectors.where("vector IS NOT NULL").withColumn("_cell", cell(F.col("vector"), bits))
-    similar = placed.join(probes, "_cell").select(
-        "question_id", "doc_id", F.round(F.coalesce(cosine(F.col("vector"), F.col("_question_vector")), F.lit(0.0)) * SCORE_UNIT).cast("bigint").alias("score")
-    )
-    return best_k(similar, k).select("question_id", "doc_id")
-
-
 def hybrid_retrieve(
-    questions: DataFrame, docs: DataFrame, vectors: DataFrame, k: int = 3, source: str | None = None, bits: int = CELL_BITS
+    questions: DataFrame, docs: DataFrame, vectors: DataFrame, k: int = 3, source: str | None = None, exact: bool = True
 ) -> DataFrame:
     """Candidates by word and by vector, ranked by keyword score plus cosine similarity.
 
     ``questions`` carries a ``vector``; ``vectors`` is (doc_id, vector). A document or
     question without a vector counts with similarity 0, one without a shared word with score 0.
+    Without ``exact`` only the nearest cells of the inverted file are looked into.
     """
     corpus = docs if source is None else docs.where(F.col("source") == source)
     weights, matches = question_weights(questions.select("question_id", "question"), corpus)
@@ -162,7 +148,7 @@ def hybrid_retrieve(
     # below the k-th best keyword score cannot come back among the best k.
     lexical = materialize(lexical_candidates(weights, matches, k, 2 * SCORE_UNIT), "lexical-candidates")
     known = vectors if source is None else vectors.join(corpus.select("doc_id"), "doc_id", "left_semi")
-    by_vector = materialize(vector_candidates(questions, known, k, bits), "vector-candidates")
+    by_vector = materialize(nearest(questions, build(known), k, exact=exact).select("question_id", "doc_id"), "vector-candidates")
     added = by_vector.join(lexical.select("question_id", "doc_id"), ["question_id", "doc_id"], "left_anti")
     # A document that came by its vector may still share words, only too few to be a word candidate.
     words = added.join(weights.select("question_id", "token", "weight"), "question_id").join(matches, ["doc_id", "token"])
