@@ -340,9 +340,7 @@ def observed_features(spark, sf_dir):
 @query("feature_psi", f"WITH {OBSERVED_SQL} " + " UNION ALL ".join(f"SELECT * FROM {psi_sql(c)}" for c in DRIFT_FEATURES))
 def feature_psi(spark, sf_dir):
     reference, live = reference_and_live(observed_features(spark, sf_dir))
-    reports = [drift.population_stability(reference, live, c) for c in DRIFT_FEATURES]
-    both = reports[0].unionByName(reports[1]).unionByName(reports[2])
-    return both.withColumn("psi", F.round("psi", 6))
+    return drift.population_stability(reference, live, DRIFT_FEATURES).withColumn("psi", F.round("psi", 6))
 
 
 @query(
@@ -358,9 +356,7 @@ def feature_psi(spark, sf_dir):
 )
 def feature_ks(spark, sf_dir):
     reference, live = reference_and_live(observed_features(spark, sf_dir))
-    reports = [drift.kolmogorov_smirnov(reference, live, c) for c in DRIFT_FEATURES]
-    both = reports[0].unionByName(reports[1]).unionByName(reports[2])
-    return both.withColumn("ks", F.round("ks", 9))
+    return drift.kolmogorov_smirnov(reference, live, DRIFT_FEATURES).withColumn("ks", F.round("ks", 9))
 
 
 SCORED_SQL = f"""{EVENTS_SQL},

@@ -20,7 +20,7 @@ def asof_join(
 
     Of feature rows with the same key and time the one with the largest ``tie_break`` counts;
     without that argument there must be one row per (key, ts). Both sides are stacked and scanned along time,
-    features first on equal times, which is one shuffle on the key and no range join. Spine
+    features first on equal times, which is one shuffle by key and no range join. Spine
     rows without an earlier feature row keep NULLs.
     """
     tie = F.col(tie_break) if tie_break else F.lit(0)

@@ -1,8 +1,10 @@
 """Running results per key that survive a hot key.
 
-A window ``partitionBy(key)`` puts a whole key into one task. Here rows are sorted into ranges
-by key and order, each range is scanned on its own, and the results of the ranges before it are
-added for a key that began there. It is one plan for all sizes and keys.
+A window ``partitionBy(key)`` is one exchange, but puts a whole key into one task. So the rows of each
+key are counted first, added up before they are shuffled. Only keys of more rows than a task should
+sort are dealt in chunks: their bounds come from a sample of the key's rows, known before the one exchange
+of the rows by key and chunk. Windows run inside the chunks, and what a chunk needs from those before it
+is added afterwards, from one row for each chunk.
 """
 
 from __future__ import annotations
@@ -12,9 +14,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from stockpond.operators.ordering import range_sorted
 from stockpond.session import materialize
 
+# Rows of one key that a task sorts at most, chunks of a key at most (as a power of two), and sampled rows for each chunk.
+CHUNK_ROWS = 1_000_000
+CHUNK_STEPS = 12
+PER_CHUNK = 32
+
 
 def _same(value: Column) -> Column:
     return value
@@ -110,51 +116,80 @@ def key_minimum(name: str, value: str) -> Running:
     )
 
 
-def _same_key(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
+def _renamed(keys: list[str]) -> dict[str, str]:
+    return {k: f"_k{i}" for i, k in enumerate(keys)}
+
+
+def _same_key(keys: list[str]) -> Column:
+    """Of a side with the keys and one with their renamed copies."""
     same = F.lit(True)
-    for k in keys:
-        same = same & left[k].eqNullSafe(right[k])
+    for k, other in _renamed(keys).items():
+        same = same & F.col(k).eqNullSafe(F.col(other))
     return same
 
 
-def _border_keys(placed: DataFrame, keys: list[str]) -> DataFrame:
-    """First and last key of each range; every other key lies in one range whole."""
-    key = F.struct(*keys)
-    ends = placed.groupBy("_part").agg(F.array(F.min(key), F.max(key)).alias("_ends"))
-    return ends.select(F.explode("_ends").alias("_key")).select("_key.*").distinct()
+def hot_keys(df: DataFrame, keys: list[str], most: int = CHUNK_ROWS) -> DataFrame:
+    """The keys with more than ``most`` rows, and how many; a written table, of at most a row for each ``most`` rows of ``df``."""
+    counted = df.groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") > most)
+    return materialize(counted.withColumnsRenamed(_renamed(keys)), "hot-keys")
+
+
+def _chunk_bounds(df: DataFrame, hot: DataFrame, keys: list[str], order_by: list[str], most: int) -> DataFrame:
+    """Of each hot key, the places in the order at which its chunks end, from about ``PER_CHUNK`` sampled rows a chunk."""
+    chunks = F.least(F.ceil(F.col("_rows") / most), F.lit(1 << CHUNK_STEPS))
+    sampled = df.join(hot, _same_key(keys)).where(F.rand(7) < chunks * PER_CHUNK / F.col("_rows"))
+    ordered = F.sort_array(F.collect_list(F.struct(*order_by)))
+    bounds = F.filter(ordered, lambda _, i: i % PER_CHUNK == PER_CHUNK - 1)
+    return materialize(sampled.groupBy(*_renamed(keys).values()).agg(bounds.alias("_bounds")), "chunk-bounds")
+
 
+def _chunk(order_by: list[str]) -> Column:
+    """How many bounds lie before the row, by halving; 0 for keys without bounds."""
+    steps = F.array(*[F.lit(1 << i) for i in range(CHUNK_STEPS - 1, -1, -1)])
+    here = F.struct(*order_by)
+    search = F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get("_bounds", at + step - 1) < here, at + step).otherwise(at))
+    return F.when(F.col("_bounds").isNull(), F.lit(0)).otherwise(search)
 
-def keyed_scan(df: DataFrame, keys: list[str], order_by: list[str], columns: list[Running]) -> DataFrame:
+
+def in_chunks(df: DataFrame, keys: list[str], order_by: list[str], most: int = CHUNK_ROWS, counted: DataFrame | None = None) -> DataFrame | None:
+    """``df`` with ``_bounds`` (null for all but hot keys) and ``_chunk``; None without a hot key."""
+    hot = hot_keys(df if counted is None else counted, keys, most)
+    if hot.isEmpty():
+        return None
+    bounds = _chunk_bounds(df, hot, keys, order_by, most)
+    return df.join(bounds, _same_key(keys), "left").drop(*_renamed(keys).values()).withColumn("_chunk", _chunk(order_by))
+
+
+def keyed_scan(df: DataFrame, keys: list[str], order_by: list[str], columns: list[Running], most: int = CHUNK_ROWS, counted: DataFrame | None = None) -> DataFrame:
     """Add running columns per key in ascending ``order_by``.
 
-    The rows are sorted by key and order, in ranges of about equal size, so a key with many rows
-    spans ranges, whatever it is: NULL, or one with all its rows at one time but for ties. Each range is
-    scanned on its own; what a range needs from those before it are the totals of a border key.
+    The rows go through one exchange. A key of more than ``most`` rows, NULL or not, is worked off in chunks
+    of about ``most`` rows, at most ``2 ** CHUNK_STEPS`` of them; rows that are equal in ``order_by`` stay together.
+    ``df`` is read again for the counts, and where there are hot keys for their bounds and totals; ``counted``
+    names a cheaper table to count, which has no fewer rows of any key.
     """
     names = {c.name for c in columns}
     kept = [c for c in df.columns if c not in names]
-    placed = range_sorted(df, [*keys, *order_by], "keyed-scan")
-    inside = Window.partitionBy("_part", *keys).orderBy(*order_by)
-    scanned = placed.withColumns({f"_l{i}": c.local(inside) for i, c in enumerate(columns)})
-
-    # At most two keys for each range of the sort, however many rows there are.
-    borders = F.broadcast(_border_keys(placed, keys))
+    dealt = in_chunks(df, keys, order_by, most, counted)
+    if dealt is None:
+        inside = Window.partitionBy(*keys).orderBy(*order_by)
+        scanned = df.withColumns({f"_l{i}": c.local(inside) for i, c in enumerate(columns)})
+        return scanned.select(*kept, *[c.finish(F.col(f"_l{i}")).alias(c.name) for i, c in enumerate(columns)])
+    inside = Window.partitionBy(*keys, "_chunk").orderBy(*order_by)
+    scanned = dealt.withColumns({f"_l{i}": c.local(inside) for i, c in enumerate(columns)})
     position = F.struct(*order_by)
-    totals = (
-        placed.join(borders, _same_key(placed, borders, keys), "left_semi")
-        .groupBy("_part", *keys)
-        .agg(*[c.total(position).alias(f"_t{i}") for i, c in enumerate(columns)])
-    )
-    ranges_of_key = Window.partitionBy(*keys).orderBy("_part")
+    totals = dealt.where("_bounds IS NOT NULL").groupBy(*keys, "_chunk").agg(*[c.total(position).alias(f"_t{i}") for i, c in enumerate(columns)])
+    chunks_of_key = Window.partitionBy(*keys).orderBy("_chunk")
     carried = totals.select(
-        F.col("_part").alias("_range"), *keys, *[c.carry(F.col(f"_t{i}"), ranges_of_key).alias(f"_c{i}") for i, c in enumerate(columns)]
+        *[F.col(k).alias(other) for k, other in _renamed(keys).items()],
+        F.col("_chunk").alias("_at"),
+        *[c.carry(F.col(f"_t{i}"), chunks_of_key).alias(f"_c{i}") for i, c in enumerate(columns)],
     )
-    # One row for each range and border key.
-    carried = F.broadcast(materialize(carried, "carried"))
-    joined = scanned.join(carried, (F.col("_part") == F.col("_range")) & _same_key(scanned, carried, keys), "left")
-    types = {f.name: f.dataType for f in scanned.schema.fields}
+    joined = scanned.join(materialize(carried, "carried"), _same_key(keys) & (F.col("_chunk") == F.col("_at")), "left")
+    # As text, so that the parts of a structure may be NULL.
+    types = {f.name: f.dataType.simpleString() for f in scanned.schema.fields}
     combined = [
         c.finish(c.combine(F.col(f"_l{i}"), F.col(f"_c{i}")).cast(types[f"_l{i}"])).alias(c.name)
         for i, c in enumerate(columns)
     ]
-    return joined.select(*[scanned[c] for c in kept], *combined)
+    return joined.select(*kept, *combined)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from stockpond.operators.ordering import global_running_sums
+from stockpond.operators.ordering import range_sorted
+from stockpond.session import materialize
 
 # Alert limits.
 PSI_ALERT = 0.2
@@ -13,18 +14,42 @@ F1_DROP_ALERT = 0.05
 EMPTY_BIN = 1e-6
 
 
-def quantile_edges(reference: DataFrame, column: str, bins: int = 10) -> list[Column]:
-    """Inner bin edges at equal shares of the reference, exact, as literals.
+def sorted_values(reference: DataFrame, live: DataFrame, columns: list[str]) -> DataFrame:
+    """(feature, value, r, l): how often each value of each feature occurs on both sides, written in one range sort for all features."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in columns])
+    both = reference.select(*columns, F.lit(1).alias("r"), F.lit(0).alias("l")).unionByName(live.select(*columns, F.lit(0).alias("r"), F.lit(1).alias("l")))
+    long = both.select(F.explode(pairs).alias("p"), "r", "l").select("p.feature", "p.value", "r", "l").where("value IS NOT NULL")
+    return range_sorted(long.groupBy("feature", "value").agg(F.sum("r").alias("r"), F.sum("l").alias("l")), ["feature", "value"], "feature-values")
 
-    Edge i is the smallest value with at least i / bins of the rows up to it. The values are
-    counted and sorted in ranges, which no task or sketch has to hold as a whole.
+
+def range_totals(placed: DataFrame) -> DataFrame:
+    """Per range of the sort and feature, rows of both sides before it (``from_``), up to its end (``to_``) and in all; one row for each."""
+    totals = placed.groupBy("_part", "feature").agg(F.sum("r").alias("_r"), F.sum("l").alias("_l"))
+    of_feature, whole = Window.partitionBy("feature").orderBy("_part"), Window.partitionBy("feature")
+    upto = of_feature.rowsBetween(Window.unboundedPreceding, 0)
+    summed = totals.withColumns({f"to_{c}": F.sum(f"_{c}").over(upto) for c in "rl"} | {f"all_{c}": F.sum(f"_{c}").over(whole) for c in "rl"})
+    return summed.select("_part", "feature", *[(F.col(f"to_{c}") - F.col(f"_{c}")).alias(f"from_{c}") for c in "rl"], "to_r", "to_l", "all_r", "all_l")
+
+
+def running_shares(placed: DataFrame, ranges: DataFrame) -> DataFrame:
+    """The rows of ``placed`` that lie in ``ranges``, with ``cum_r`` and ``cum_l`` within their feature."""
+    inside = Window.partitionBy("_part", "feature").orderBy("_position").rowsBetween(Window.unboundedPreceding, 0)
+    joined = placed.join(F.broadcast(ranges), ["_part", "feature"])
+    return joined.withColumns({f"cum_{c}": F.col(f"from_{c}") + F.sum(c).over(inside) for c in "rl"})
+
+
+def quantile_edges(placed: DataFrame, ranges: DataFrame, bins: int = 10) -> DataFrame:
+    """(feature, edges, all_r, all_l): inner bin edges at equal shares of the reference, exact; one row for each feature.
+
+    Edge i is the smallest value with at least i / bins of the reference rows up to it. Only the
+    ranges of the sort that hold an edge are looked into.
     """
-    values = reference.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("_rows"))
-    running = global_running_sums(values, [column], {"_upto": "_rows"})
-    rows = reference.agg(F.count(column).alias("rows")).scalar()
-    edges = [F.min(F.when(F.col("_upto") * bins >= rows * i, F.col(column))).alias(f"e{i}") for i in range(1, bins)]
-    # One number per bin comes to the driver.
-    return [F.lit(edge) for edge in running.agg(*edges).first()]
+    share = lambda c: F.floor(F.col(c) * bins / F.col("all_r"))
+    running = running_shares(placed, ranges.where(share("to_r") > share("from_r")))
+    edges = [F.min(F.when(F.col("cum_r") * bins >= F.col("all_r") * i, F.col("value"))) for i in range(1, bins)]
+    found = running.groupBy("feature").agg(F.array_compact(F.array(*edges)).alias("edges"))
+    whole = ranges.groupBy("feature").agg(F.max("all_r").alias("all_r"), F.max("all_l").alias("all_l"))
+    return whole.join(found, "feature", "left")
 
 
 def equal_edges(low: float, high: float, bins: int = 10) -> list[Column]:
@@ -53,27 +78,24 @@ def binned_shares(reference: DataFrame, live: DataFrame, column: str, edges: lis
     )
 
 
-def population_stability(reference: DataFrame, live: DataFrame, column: str, bins: int = 10) -> DataFrame:
-    """PSI of a feature over quantile bins of the reference, with the alert flag."""
-    shares = binned_shares(reference, live, column, quantile_edges(reference, column, bins))
-    p = F.greatest("reference_share", F.lit(EMPTY_BIN))
-    q = F.greatest("live_share", F.lit(EMPTY_BIN))
-    return shares.agg(F.sum((q - p) * F.log(q / p)).alias("psi")).select(
-        F.lit(column).alias("feature"), "psi", (F.col("psi") > PSI_ALERT).alias("alert")
-    )
-
-
-def kolmogorov_smirnov(reference: DataFrame, live: DataFrame, column: str) -> DataFrame:
-    """Greatest gap between the two cumulative distributions, exact over all values."""
-    both = reference.select(column, F.lit(1).alias("r"), F.lit(0).alias("l")).unionByName(
-        live.select(column, F.lit(0).alias("r"), F.lit(1).alias("l"))
-    )
-    values = both.where(F.col(column).isNotNull()).groupBy(column).agg(F.sum("r").alias("r"), F.sum("l").alias("l"))
-    running = global_running_sums(values, [column], {"cum_r": "r", "cum_l": "l"})
-    total_r = values.agg(F.sum("r").alias("n")).scalar()
-    total_l = values.agg(F.sum("l").alias("n")).scalar()
-    gap = F.abs(F.col("cum_r") / total_r - F.col("cum_l") / total_l)
-    return running.agg(F.max(gap).alias("ks")).select(F.lit(column).alias("feature"), "ks")
+def population_stability(reference: DataFrame, live: DataFrame, columns: str | list[str], bins: int = 10) -> DataFrame:
+    """PSI of each feature over quantile bins of the reference, with the alert flag; NULLs are left out."""
+    placed = sorted_values(reference, live, [columns] if isinstance(columns, str) else columns)
+    # One row for each feature.
+    edges = F.broadcast(materialize(quantile_edges(placed, range_totals(placed), bins), "bin-edges"))
+    below = F.size(F.filter("edges", lambda edge: edge < F.col("value")))
+    counted = placed.join(edges, "feature").groupBy("feature", "all_r", "all_l", below.alias("bin")).agg(F.sum("r").alias("r"), F.sum("l").alias("l"))
+    p = F.greatest(F.try_divide("r", "all_r"), F.lit(EMPTY_BIN))
+    q = F.greatest(F.try_divide("l", "all_l"), F.lit(EMPTY_BIN))
+    return counted.groupBy("feature").agg(F.sum((q - p) * F.log(q / p)).alias("psi")).select("feature", "psi", (F.col("psi") > PSI_ALERT).alias("alert"))
+
+
+def kolmogorov_smirnov(reference: DataFrame, live: DataFrame, columns: str | list[str]) -> DataFrame:
+    """Greatest gap between the two cumulative distributions of each feature, exact over all values."""
+    placed = sorted_values(reference, live, [columns] if isinstance(columns, str) else columns)
+    running = running_shares(placed, range_totals(placed))
+    gap = F.abs(F.try_divide("cum_r", "all_r") - F.try_divide("cum_l", "all_l"))
+    return running.groupBy("feature").agg(F.max(gap).alias("ks"))
 
 
 def prediction_drift(reference: DataFrame, live: DataFrame, score: str, threshold: float = 0.5, bins: int = 10) -> DataFrame:

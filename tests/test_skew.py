@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stockpond.operators.asof import leakage_report
 from stockpond.operators.changes import new_rows
 from stockpond.operators.clean import keep_latest
-from stockpond.operators.keyed_scan import keyed_scan, running_sum, sequence_number
+from stockpond.operators.keyed_scan import in_chunks, key_minimum, keyed_scan, last_known, previous_value, prior_sum, running_sum, sequence_number
 from stockpond.operators.marts import enrich_orders
 from stockpond.operators.ordering import range_sorted
 from stockpond.plans.features import transform_ordinal
@@ -146,3 +146,29 @@ def test_scan_splits_a_hot_key(spark, rows, key, days):
     whole = dated.where(F.col("k").eqNullSafe(F.lit(key))).agg(F.count("*"), F.sum("id")).first()
     assert (last.n, last.total) == tuple(whole)
     assert got.count() == 30000
+
+
+@pytest.mark.parametrize("key", [HOT, None])
+@pytest.mark.parametrize("days", [1, 50])
+def test_scan_deals_a_hot_key_in_chunks(spark, rows, key, days):
+    """The same rows: the hot key is cut, the others are not, and one exchange by key and chunk serves the windows."""
+    hot = F.col("id") % 2 == 0
+    dated = rows.select(
+        "id", F.when(hot, F.lit(key).cast("bigint")).otherwise(F.col("k") + 10_000).alias("k"), F.date_add(F.lit("2026-01-01").cast("date"), (F.col("id") % days).cast("int")).alias("ts")
+    )
+    dealt = in_chunks(dated, ["k"], ["ts", "id"], 6_000)
+    sizes = {(r.k, r["_chunk"]): r["count"] for r in dealt.groupBy("k", "_chunk").count().collect()}
+    cut = sorted(n for (k, _), n in sizes.items() if k == key)
+    assert len(cut) == 3 and cut[-1] < 8_500 and sum(cut) == 15_000
+    assert all(chunk == 0 for k, chunk in sizes if k != key)
+    columns = [sequence_number("n"), running_sum("total", "id"), prior_sum("before", "id"), previous_value("last", "id"), key_minimum("least", "id"), last_known("known", "odd")]
+    marked = dated.withColumn("odd", F.when(F.col("id") % 7 == 0, F.col("id")))
+    whole = keyed_scan(marked, ["k"], ["ts", "id"], columns)
+    assert in_chunks(marked, ["k"], ["ts", "id"]) is None
+    for most in (6_000, 200):
+        cut = keyed_scan(marked, ["k"], ["ts", "id"], columns, most)
+        assert cut.schema == whole.schema and cut.exceptAll(whole).isEmpty() and cut.count() == 30_000
+    # Joins on the small tables of bounds and carried rows aside, the rows are shuffled once.
+    with settings(spark, spark__sql__adaptive__enabled="false"):
+        for scan in (whole, keyed_scan(marked, ["k"], ["ts", "id"], columns, 6_000)):
+            assert scan._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
