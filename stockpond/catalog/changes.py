@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stockpond.catalog.registry import BRONZE_SQL, LATEST_SQL, PRODUCTS_SQL, plain, query
-from stockpond.operators import changes, history, semi
+from stockpond.operators import changes, history, kept_summary, semi
 from stockpond.operators.changes import ACTION, IS_UPDATE
 from stockpond.plans.jobs import refresh_summary_if_changed, run_medallion
 from stockpond.session import materialize, scratch_path
@@ -193,6 +193,16 @@ def change_feed(spark, sf_dir):
     return plain(changes.change_feed(v0, v1, KEY))
 
 
+@query(
+    "change_feed_by_range",
+    f"WITH {VERSIONS_SQL},{FEED_SQL} SELECT {PLAIN_SQL}, _action, _is_update FROM feed",
+)
+def change_feed_by_range(spark, sf_dir):
+    """The same feed; ranges of a thousand order numbers whose digests agree are not shuffled."""
+    v0, v1, _ = all_versions(spark, sf_dir)
+    return plain(changes.change_feed_by_range(v0, v1, KEY, F.expr("order_id div 1000")))
+
+
 @query(
     "unchanged_feed",
     f"""WITH {VERSIONS_SQL} SELECT (SELECT COUNT(*) FROM (SELECT * FROM v0 EXCEPT SELECT * FROM v0)) AS changed_rows,
@@ -242,6 +252,30 @@ def incremental_summary(spark, sf_dir):
     return plain(refreshed_summary(spark, stored_summary(spark, sf_dir), stored_feeds(spark, sf_dir)))
 
 
+def kept_buckets(spark, sf_dir):
+    """Where the summary of the first version is kept in buckets, and the changes of two versions, a folder for each."""
+    root = scratch_path(spark, "kept-summary")
+    kept_summary.create(version_0(spark, sf_dir), root, ["priority"], "price", 0)
+    return root, materialize(stored_feeds(spark, sf_dir), "feeds-by-version", [history.VERSION])
+
+
+def refreshed_buckets(spark, root, log):
+    for upto in (1, 2, 2):
+        kept_summary.refresh(log, root, history.VERSION, upto)
+    return kept_summary.read(spark, root)
+
+
+@query(
+    "kept_summary",
+    f"""WITH {VERSIONS_SQL}
+    SELECT priority, COUNT(*) AS row_count, COUNT(price) AS value_count, CAST(SUM(price) AS DOUBLE) AS total
+    FROM v2 GROUP BY priority""",
+)
+def kept_summary_query(spark, sf_dir):
+    """The summary in buckets: each refresh reads the new part of the log and rewrites the buckets it touches."""
+    return plain(refreshed_buckets(spark, *kept_buckets(spark, sf_dir)))
+
+
 @query(
     "skip_unchanged_refresh",
     f"""WITH {VERSIONS_SQL}

@@ -60,14 +60,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def _delete(spark: SparkSession, folder: str) -> None:
+def delete_folder(spark: SparkSession, folder: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def clear_scratch(spark: SparkSession) -> None:
     """Remove what this application wrote below the shared folder, once its results are read."""
-    _delete(spark, _session_folder(spark))
+    delete_folder(spark, _session_folder(spark))
     _MADE.clear()
 
 
@@ -79,7 +79,7 @@ def released(spark: SparkSession):
         yield
     finally:
         for path in _MADE[before:]:
-            _delete(spark, path)
+            delete_folder(spark, path)
         del _MADE[before:]
 
 
