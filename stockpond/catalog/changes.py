@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stockpond.catalog.registry import BRONZE_SQL, LATEST_SQL, PRODUCTS_SQL, plain, query
-from stockpond.operators import changes, history, kept_summary, semi
+from stockpond.operators import changes, history, kept_history, kept_summary, semi
 from stockpond.operators.changes import ACTION, IS_UPDATE
 from stockpond.plans.jobs import refresh_summary_if_changed, run_medallion
 from stockpond.session import materialize, scratch_path
@@ -305,6 +305,28 @@ def passthrough_refresh(spark, sf_dir):
     return plain(changes.passthrough_refresh(changes.passthrough_refresh(v0, v0, v1, KEY), v1, v2, KEY))
 
 
+def kept_log(spark, sf_dir, every):
+    """The three versions as commits, with a snapshot after every ``every``-th."""
+    v0, v1, v2 = all_versions(spark, sf_dir)
+    root = scratch_path(spark, "kept-log")
+    feeds = [history.snapshot_as_changes(v0), changes.change_feed(v0, v1, KEY), changes.change_feed(v1, v2, KEY)]
+    for feed, day in zip(feeds, VERSION_DAYS):
+        kept_history.commit(feed, root, KEY, F.lit(f"{day} 12:00:00"), every)
+    return root
+
+
+@query("snapshot_and_tail", f"WITH {VERSIONS_SQL} SELECT {PLAIN_SQL} FROM v2")
+def snapshot_and_tail(spark, sf_dir):
+    """The last state from the snapshot of the second commit and the one change file after it."""
+    return plain(kept_history.state_of(spark, kept_log(spark, sf_dir, 2), KEY, 2))
+
+
+@query("snapshot_as_of", f"WITH {VERSIONS_SQL} SELECT {PLAIN_SQL} FROM v1")
+def snapshot_as_of(spark, sf_dir):
+    """A point in time whose state is a snapshot: no change file is read."""
+    return plain(kept_history.state_at(spark, kept_log(spark, sf_dir, 2), KEY, F.lit("2026-01-02 18:00:00")))
+
+
 @query("state_as_of", f"WITH {VERSIONS_SQL} SELECT {PLAIN_SQL} FROM v1")
 def state_as_of(spark, sf_dir):
     at = F.lit("2026-01-03 11:59:59").cast("timestamp_ntz")

@@ -96,6 +96,7 @@ def gold_tables(spark, sf_dir):
     facts = spark.read.parquet(f"{root}/gold/order_facts")
     marts.category_summary(facts, exact=True).write.parquet(f"{root}/gold/category_summary")
     marts.orders_over_time(facts).write.parquet(f"{root}/gold/orders_over_time")
+    marts.customer_sketches(facts).write.parquet(f"{root}/gold/customer_sketches")
     return metrics.read_tables(spark, metrics.load_spec(), root)
 
 
@@ -159,6 +160,33 @@ def metric_daily(spark, sf_dir):
     )
 
 
+@query(
+    "metric_distinct_customers",
+    f"""WITH {FACTS_SQL}, kept AS (SELECT *, year(order_ts)::INT AS order_year FROM facts WHERE order_status <> 'CANCELLED')
+    SELECT category, CAST(NULL AS INT) AS order_year, COUNT(DISTINCT customer_id) AS customers, TRUE AS within_bound
+    FROM kept GROUP BY category
+    UNION ALL SELECT NULL, order_year, COUNT(DISTINCT customer_id), TRUE FROM kept GROUP BY order_year
+    UNION ALL SELECT NULL, NULL, COUNT(DISTINCT customer_id), TRUE FROM kept""",
+)
+def metric_distinct_customers(spark, sf_dir):
+    """Distinct customers by category, by year and of the whole shop from one stored table of sketches, beside exact counts."""
+    facts, spec = materialize(retail.order_facts(spark, sf_dir), "facts"), metrics.load_spec()
+    sketches = {"customer_sketches": materialize(marts.customer_sketches(facts), "customer-sketches")}
+    kept = facts.where(marts.not_cancelled()).withColumn("order_year", F.year("order_ts"))
+    parts = []
+    for group in (["category"], ["order_year"], []):
+        known = metrics.metric_query(sketches, spec, ["different buyers"], group)
+        exact = kept.groupBy(*group).agg(F.count_distinct("customer_id").alias("customers"))
+        if group:
+            both = exact.join(known, exact[group[0]].eqNullSafe(known[group[0]])).select(exact[group[0]], "customers", "distinct_customers")
+        else:
+            both = exact.withColumn("distinct_customers", known.scalar())
+        parts.append(both)
+    within = F.abs(F.col("distinct_customers") - F.col("customers")) <= F.ceil(F.col("customers") * marts.SKETCH_ERROR)
+    every = parts[0].unionByName(parts[1], allowMissingColumns=True).unionByName(parts[2], allowMissingColumns=True)
+    return every.select("category", "order_year", "customers", within.alias("within_bound"))
+
+
 @query(
     "category_explorer",
     f"""WITH {FACTS_SQL}

@@ -122,3 +122,20 @@ def category_kpis(facts: DataFrame) -> DataFrame:
         F.max("total_revenue").alias("best_day_revenue"),
     )
     return top_category.select("*", *[best_day.select(c).scalar().alias(c) for c in best_day.columns])
+
+
+SKETCH_LOG_SIZE = 14
+# Three standard errors of a sketch with 2^14 registers, which also covers a union of sketches.
+SKETCH_ERROR = 0.025
+
+
+def customer_sketches(facts: DataFrame) -> DataFrame:
+    """Who bought, per category and month, as sketches that can be united over any grouping; cancelled orders don't count."""
+    month = F.trunc(F.to_date("order_ts"), "MONTH").alias("order_month")
+    return facts.where(not_cancelled()).groupBy("category", month).agg(F.hll_sketch_agg("customer_id", SKETCH_LOG_SIZE).alias("customers"))
+
+
+def extend_sketches(stored: DataFrame, arrived: DataFrame) -> DataFrame:
+    """Stored sketches with those of arrived orders. Orders can be added twice without harm, but none can be taken out."""
+    both = stored.unionByName(customer_sketches(arrived))
+    return both.groupBy("category", "order_month").agg(F.hll_union_agg("customers").alias("customers"))

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stockpond.functions.scalars import preview
+from stockpond.session import materialize
 
 
 def usage_rollup(metering: DataFrame, keys: list[str | Column], since: Column | None = None) -> DataFrame:
@@ -32,9 +35,10 @@ def usage_share(metering: DataFrame) -> DataFrame:
 def budget_crossings(metering: DataFrame, quota: float, thresholds: dict[str, float]) -> DataFrame:
     """First time in each month at which the running credits reach a share of the quota.
 
-    A credit below zero fails the query: the search relies on running sums that never fall. A month may hold most of the rows, so it is narrowed in
-    steps: the running sum over days finds the day a threshold is crossed, only that day is
-    summed by minute, and only that minute row by row.
+    A credit below zero fails the query: the search relies on running sums that never fall. One scan sums the
+    credits by minute, into a table whose size the calendar bounds. Running sums over its days, and over the minutes of
+    one day, find the minute a threshold is crossed in; only the rows of these minutes are read again, by time ranges
+    that reach the scan.
     """
     month = F.trunc(F.to_date("start_time"), "MONTH")
     rows = metering.select(
@@ -64,16 +68,21 @@ def budget_crossings(metering: DataFrame, quota: float, thresholds: dict[str, fl
         )
 
     keys = ["month", "action"]
+    sums = [F.sum("credits_used").alias("credits_used"), F.min("credits_used").alias("_least")]
+    minutes = materialize(rows.groupBy("month", "day", "minute").agg(*sums), "credits-by-minute")
     # Thresholds times days: a handful of rows per month, exploded after the daily sums.
-    daily = rows.groupBy("month", "day").agg(F.sum("credits_used").alias("credits_used"), F.min("credits_used").alias("_least"))
+    daily = minutes.groupBy("month", "day").agg(sums[0], F.min("_least").alias("_least"))
     kind = daily.schema["credits_used"].dataType
     refused = F.raise_error(F.lit("a credit is below zero")).cast(kind)
     daily = daily.select("month", "day", F.when(F.col("_least") < 0, refused).otherwise(F.col("credits_used")).alias("credits_used"))
     by_day = crossing(daily.select("*", limits.alias("l")).select("month", "day", "credits_used", "l.*"), keys, "day")
     # One row per month and threshold, bounded by the calendar, so both joins may broadcast.
-    in_day = rows.join(F.broadcast(by_day.select(*keys, "day", "needed")), ["month", "day"])
-    by_minute = crossing(in_day, keys, "minute")
-    in_minute = rows.join(F.broadcast(by_minute.select(*keys, "minute", "needed")), ["month", "minute"])
+    in_day = minutes.join(F.broadcast(by_day.select(*keys, "day", "needed")), ["month", "day"])
+    by_minute = materialize(crossing(in_day, keys, "minute"), "crossed-minutes")
+    span = F.lit(False)
+    for (minute,) in by_minute.select("minute").distinct().collect():
+        span = span | ((F.col("at") >= F.lit(minute)) & (F.col("at") < F.lit(minute + timedelta(minutes=1))))
+    in_minute = rows.where(span).join(F.broadcast(by_minute.select(*keys, "minute", "needed")), ["month", "minute"])
     exact = crossing(in_minute, keys, "at")
     return exact.select("month", "action", F.col("at").alias("crossed_at"))
 

@@ -15,6 +15,8 @@ AGGREGATES = {
     "max": F.max,
     "count": F.count,
     "count_distinct": F.count_distinct,
+    # Distinct values from stored sketches, which unite over any grouping; no sketches, no values.
+    "sketch_distinct": lambda c: F.coalesce(F.hll_sketch_estimate(F.hll_union_agg(c)), F.lit(0).cast("bigint")),
 }
 COMPARISONS = {
     "=": lambda c, v: c == v,

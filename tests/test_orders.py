@@ -172,3 +172,32 @@ def test_metric_layer_refuses(facts):
         metrics.metric_query(tables, spec, ["turnover"], ["store"], table="category_summary")
     with pytest.raises(ValueError, match="unknown question"):
         metrics.verified_query(tables, spec, "profit")
+
+
+def sketched(df):
+    return metrics.metric_query({"customer_sketches": df}, metrics.load_spec(), ["distinct_customers"], table="customer_sketches")
+
+
+def test_sketches_count_over_any_grouping(facts):
+    spec, tables = metrics.load_spec(), {"customer_sketches": marts.customer_sketches(facts)}
+    by_category = metrics.metric_query(tables, spec, ["different buyers"], ["kind of product"])
+    assert {r.category: r.distinct_customers for r in by_category.collect()} == {"Kitchen": 6, "Lighting": 2}
+    whole = facts.where(marts.not_cancelled()).select("customer_id").where("customer_id IS NOT NULL").distinct().count()
+    assert sketched(tables["customer_sketches"]).first().distinct_customers == whole
+    assert sketched(tables["customer_sketches"].where("false")).first().distinct_customers == 0
+
+
+def test_sketches_stay_within_their_bound(spark):
+    made = spark.range(300_000).selectExpr(
+        "id % 40000 AS customer_id", "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('c', id % 7) END AS category",
+        "timestamp_ntz'2026-01-01' + make_interval(0, CAST(id % 12 AS INT)) AS order_ts", "'PAID' AS order_status",
+    )
+    old, late = made.where("customer_id < 30000"), made.where("customer_id >= 20000")
+    stored = marts.extend_sketches(marts.customer_sketches(old), late)
+    assert abs(sketched(stored).first().distinct_customers - 40000) <= 40000 * marts.SKETCH_ERROR
+    again = marts.extend_sketches(stored, late)
+    assert sketched(again).first() == sketched(stored).first()
+    exact = {r.category: r.n for r in made.groupBy("category").agg(F.count_distinct("customer_id").alias("n")).collect()}
+    found = metrics.metric_query({"customer_sketches": stored}, metrics.load_spec(), ["distinct_customers"], ["category"])
+    for row in found.collect():
+        assert abs(row.distinct_customers - exact[row.category]) <= exact[row.category] * marts.SKETCH_ERROR

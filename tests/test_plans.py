@@ -84,3 +84,20 @@ def test_size_decides_about_broadcast(spark, sf_dir):
         assert "BroadcastHashJoin" not in facts() and "SortMergeJoin [product_id" in facts()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_crossings_read_the_rows_of_a_minute_only(spark, sf_dir):
+    text = plan(entry_points.queries()["budget_crossings"](spark, sf_dir))
+    assert text.count("FileScan parquet") == 2
+    assert re.search(r"PushedFilters: \[[^]]*(GreaterThanOrEqual|Or)\(", text)
+
+
+def test_equal_ranges_are_left_out_before_the_shuffle(spark, sf_dir):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "8000")
+    try:
+        text = plan(entry_points.queries()["change_feed_by_range"](spark, sf_dir))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    sides = text.split("Exchange hashpartitioning(")[1:]
+    assert len(sides) == 2 and all("LeftSemi" in side and "BroadcastExchange" in side for side in sides)
