@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from stockpond.catalog.registry import BRONZE_SQL, LATEST_SQL, PRODUCTS_SQL, plain, query
 from stockpond.operators import changes, history, kept_history, kept_summary, semi
 from stockpond.operators.changes import ACTION, IS_UPDATE
-from stockpond.plans.jobs import refresh_summary_if_changed, run_medallion
+from stockpond.plans.jobs import compact_silver, merge_silver, read_silver, refresh_summary_if_changed, run_medallion
 from stockpond.session import materialize, scratch_path
 from stockpond.sources import retail
 from stockpond.sources.tables import read_table
@@ -453,3 +453,20 @@ def medallion_gold(spark, sf_dir):
     run_medallion(early, goods, root, 1, ties, exact=True)
     run_medallion(landing, goods, root, 2, ties, exact=True)
     return plain(run_medallion(landing, goods, root, 2, ties, exact=True))
+
+
+@query(
+    "compacted_silver",
+    f"""WITH {BRONZE_SQL}
+    SELECT order_id, customer_id, product_id, COALESCE(quantity, 0) AS quantity, UPPER(TRIM(order_status)) AS order_status, order_ts
+    FROM bronze QUALIFY {LATEST_SQL} = 1""",
+)
+def compacted_silver(spark, sf_dir):
+    """Four Silver runs, each with a quarter of the orders and the first run's once more, two of them compacted."""
+    folder = scratch_path(spark, "silver")
+    landing = materialize(retail.bronze_orders(spark, sf_dir), "landing")
+    for run in range(1, 5):
+        merge_silver(landing.where((F.col("order_id") % 4 == run % 4) | (F.col("order_id") % 4 == 1)), folder, run, retail.VERSION_ORDER[1:])
+        if run in (2, 3):
+            compact_silver(spark, folder, run - 1)
+    return read_silver(spark, folder)

@@ -9,7 +9,7 @@ from stockpond.operators import marts
 from stockpond.operators.clean import build_silver_orders
 from stockpond.operators.keyed_scan import keyed_scan, running_sum, sequence_number
 from stockpond.plans import metrics
-from stockpond.plans.jobs import build_silver_table, run_medallion
+from stockpond.plans.jobs import build_silver_table, compact_silver, merge_silver, read_silver, run_medallion
 from stockpond.session import scratch_path
 
 
@@ -115,6 +115,47 @@ def test_medallion_runs(spark, products):
     assert runs.where("state = 'SUCCEEDED'").count() == 9
 
 
+def test_compacted_runs_read_the_same(spark):
+    folder = scratch_path(spark, "silver-test")
+    wanted = {}
+
+    def merge(run, ids):
+        rows = [(i, 50, 11, run, "COMPLETED", None) for i in ids]
+        merge_silver(orders(spark, rows), folder, run)
+        wanted.update({i: run for i in ids})
+
+    def found():
+        return {r.order_id: r.quantity for r in read_silver(spark, folder).collect()}
+
+    for run in range(1, 4):
+        merge(run, [0, run, None])
+    before = read_silver(spark, folder).columns
+    compact_silver(spark, folder, 2)
+    assert found() == wanted
+    for refused in (1, 2):
+        with pytest.raises(ValueError, match="compacted"):
+            merge(refused, [9])
+    merge(4, [1, 7])
+    assert found() == wanted
+    compact_silver(spark, folder, 4)
+    compact_silver(spark, folder, 4)
+    assert found() == wanted
+    assert not [f for f in read_silver(spark, folder).inputFiles() if "_run=" in f]
+    assert not [f for f in read_silver(spark, folder).inputFiles() if "upto=2" in f]
+    merge(5, [0])
+    assert found() == wanted and read_silver(spark, folder).columns == before
+
+
+def test_a_compaction_that_died_is_finished_later(spark):
+    folder = scratch_path(spark, "silver-test")
+    for run in (1, 2):
+        merge_silver(orders(spark, [(1, 50, 11, run, "COMPLETED", None)]), folder, run)
+    spark.read.parquet(folder).limit(0).write.parquet(f"{folder}/_compacted/upto=2")
+    assert read_silver(spark, folder).first().quantity == 2
+    compact_silver(spark, folder, 2)
+    assert read_silver(spark, folder).first().quantity == 2
+
+
 def test_known_orders_are_not_corrected_by_ingest(spark, products):
     root = scratch_path(spark, "medallion-test")
     run_medallion(orders(spark, ORDERS), products, root, 1)
