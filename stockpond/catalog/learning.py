@@ -9,6 +9,7 @@ from stockpond.catalog.registry import plain, query
 from stockpond.operators.asof import asof_join, latest_features, leakage_report
 from stockpond.operators.ordering import hash_bucket, hash_split
 from stockpond.plans import drift, features, forecast, models
+from stockpond.plans.forest_sql import batch_scores_by_sql
 from stockpond.session import materialize, scratch_path
 from stockpond.sources import retail
 from stockpond.sources.tables import read_table
@@ -499,6 +500,22 @@ def batch_scores(spark, sf_dir):
     )
 
 
+@query(
+    "forest_as_sql",
+    f"""WITH {TEST_SQL} SELECT is_fulfilled, COUNT(*) AS rows, COUNT(*) AS same FROM test GROUP BY is_fulfilled""",
+)
+def forest_as_sql(spark, sf_dir):
+    """Held-out rows scored by the model and by the SQL text of its stored nodes, compared row by row."""
+    root = scratch_path(spark, "models")
+    train, test = split_rows(spark, sf_dir)
+    models.log_model(models.forest(features.FEATURES, LABEL, trees=10, depth=6).fit(train), root, "fulfilment", "v1")
+    models.set_alias(spark, root, "fulfilment", "v1")
+    by_model = models.batch_scores(test, root, "fulfilment", [LABEL, *features.FEATURES]).withColumnRenamed("prediction", "by_model")
+    both = batch_scores_by_sql(by_model, root, "fulfilment", [LABEL, "by_model"])
+    same = F.count_if(F.col("by_model") == F.col("prediction"))
+    return both.groupBy(LABEL).agg(F.count("*").alias("rows"), same.alias("same"))
+
+
 @query(
     "champion_challenger",
     f"""WITH {TEST_SQL}, n AS (
