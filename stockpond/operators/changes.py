@@ -51,19 +51,23 @@ def change_feed(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
     )
 
 
-def range_digests(df: DataFrame, range_of: Column) -> DataFrame:
-    """Per key range the number of rows and two digests of all their columns.
+def row_digest(df: DataFrame) -> Column:
+    """A 64-bit hash of all columns of a row, whatever their order.
 
     NULLs are hashed as flags of their own, because a hash skips them. Nested columns, in which that
     is not possible, are refused.
     """
     nested = [f.name for f in df.schema if isinstance(f.dataType, (ArrayType, MapType, StructType, VariantType))]
     if nested:
-        raise ValueError(f"no digest of nested columns {nested}; use change_feed")
+        raise ValueError(f"no digest of nested columns {nested}")
     columns = sorted(df.columns)
-    row = F.xxhash64(*columns, *[F.col(c).isNull() for c in columns])
+    return F.xxhash64(*columns, *[F.col(c).isNull() for c in columns])
+
+
+def range_digests(df: DataFrame, range_of: Column) -> DataFrame:
+    """Per key range the number of rows and two digests of all their columns."""
     return (
-        df.select(range_of.alias("_range"), row.alias("_row"))
+        df.select(range_of.alias("_range"), row_digest(df).alias("_row"))
         .groupBy("_range")
         .agg(F.count("*").alias("rows"), F.bit_xor("_row").alias("xor"), F.sum(F.col("_row").cast("decimal(20,0)")).alias("sum"))
     )

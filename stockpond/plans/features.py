@@ -10,6 +10,7 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stockpond.operators.asof import asof_join
+from stockpond.operators.changes import row_digest
 from stockpond.operators.keyed_scan import (
     key_minimum,
     keyed_scan,
@@ -136,11 +137,25 @@ def read_feature_view(spark: SparkSession, root: str, name: str, version: int) -
     return spark.read.parquet(f"{folder}/rows").join(F.broadcast(_current_builds(spark, folder)), ["feature_month", "build"]).drop("build")
 
 
+def _changed_events(events: DataFrame, seen: DataFrame) -> DataFrame:
+    """Keys whose events are not as they were last seen: new, corrected or gone (``now`` is NULL).
+
+    One aggregate over both sides by key; events of the same key are added up, so their order does not matter.
+    """
+    digest = row_digest(events).cast("decimal(38,0)")
+    now = events.select(*SEEN, digest.alias("digest"), F.lit(None).cast("bigint").alias("seq"))
+    both = now.unionByName(seen.select(*SEEN, "digest", "seq"))
+    state = both.groupBy(*SEEN).agg(
+        F.sum(F.when(F.col("seq").isNull(), F.col("digest"))).alias("now"), F.max_by("digest", "seq").alias("before")
+    )
+    return state.where(~F.col("now").eqNullSafe(F.col("before")))
+
+
 def refresh_feature_view(events: DataFrame, compute, root: str, name: str, version: int) -> bool:
-    """Bring a stored view up to date with ``events``; False if it was.
+    """Bring a stored view up to date with ``events``, which is the whole table; False if it was.
 
-    New events are found by key, whatever their time. Features look back, so ``compute`` gets the
-    whole history of the customers with new events, and of them only. The months in which they have rows are
+    New, corrected and removed events are found by key and digest, whatever their time. Features look back, so ``compute`` gets the
+    whole history of the customers with such events, and of them only. The months in which they have rows, or had, are
     written as a new build, next to the old one; the view changes when one small file of the
     pointer is added. A run that died before leaves a build that nobody reads.
     """
@@ -148,21 +163,24 @@ def refresh_feature_view(events: DataFrame, compute, root: str, name: str, versi
     pointer = materialize(_table(spark, f"{folder}/pointer", BUILDS), "feature-pointer")
     last = pointer.agg(F.max("seq")).first()[0]
     key = events.select(*SEEN).schema
-    seen = _table(spark, f"{folder}/seen", ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in key) + ", build string")
-    seen = seen.join(pointer.select("build").distinct(), "build", "left_semi").drop("build")
-    is_seen = events["customer_id"].eqNullSafe(seen["customer_id"]) & events["order_id"].eqNullSafe(seen["order_id"])
-    new = materialize(events.join(seen, is_seen, "left_anti").select(*SEEN), "new-events")
-    if new.isEmpty():
+    seen = _table(spark, f"{folder}/seen", ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in key) + ", digest decimal(38,0), build string")
+    seen = seen.join(pointer.select("build", "seq").distinct(), "build")
+    changed = materialize(_changed_events(events, seen), "changed-events")
+    if changed.isEmpty():
         return False
-    touched = materialize(new.select("customer_id").distinct(), "touched-customers")
+    touched = materialize(changed.select("customer_id").distinct(), "touched-customers")
 
     def of_touched(df: DataFrame, how: str) -> DataFrame:
         return df.join(touched, df["customer_id"].eqNullSafe(touched["customer_id"]), how)
 
     month = F.trunc(F.to_date("ts"), "MONTH")
     recomputed = materialize(compute(materialize(of_touched(events, "left_semi"), "feature-history")).withColumn("feature_month", month), "recomputed")
-    months = materialize(recomputed.select("feature_month").distinct(), "touched-months")
+    months = recomputed.select("feature_month")
     rows = recomputed
+    if last is not None and not changed.where("before IS NOT NULL").isEmpty():
+        # Corrected events may have left a month; new ones can't.
+        months = months.unionByName(of_touched(read_feature_view(spark, root, name, version), "left_semi").select("feature_month"))
+    months = materialize(months.distinct(), "touched-months")
     if last is not None:
         # One row for each month.
         stored = read_feature_view(spark, root, name, version).join(F.broadcast(months), "feature_month", "left_semi")
@@ -170,7 +188,8 @@ def refresh_feature_view(events: DataFrame, compute, root: str, name: str, versi
     build = f"b-{uuid.uuid4().hex}"
     placed = rows.withColumn("build", F.lit(build)).repartitionByRange("feature_month", "customer_id").sortWithinPartitions("feature_month", "customer_id", "ts")
     placed.write.mode("append").partitionBy("build", "feature_month").parquet(f"{folder}/rows")
-    new.withColumn("build", F.lit(build)).write.mode("append").partitionBy("build").parquet(f"{folder}/seen")
+    digests = changed.select(*SEEN, F.col("now").alias("digest"), F.lit(build).alias("build"))
+    digests.write.mode("append").partitionBy("build").parquet(f"{folder}/seen")
     entry = months.select("feature_month", F.lit(build).alias("build"), F.lit((last or 0) + 1).cast("bigint").alias("seq"))
     entry.coalesce(1).write.mode("append").parquet(f"{folder}/pointer")
     return True

@@ -171,6 +171,25 @@ def test_view_refresh_takes_late_rows(spark, events):
     assert view_rows(spark, root) == everything
 
 
+def test_view_refresh_notices_corrected_and_removed_events(spark, events):
+    root = scratch_path(spark, "view-test")
+    vocabulary = features.fit_ordinal(features.prior_order_features(events), "prior_priority")
+
+    def compute(rows):
+        return features.first_per_time(features.transform_ordinal(features.prior_order_features(rows), vocabulary, "prior_priority", "priority_ordinal"))
+
+    first = events.orderBy("ts", "order_id").first()
+    one = F.col("order_id") == first.order_id
+    types = dict(events.dtypes)
+    dearer = events.withColumn("order_value", F.when(one, F.col("order_value") + 10).otherwise(F.col("order_value")).cast(types["order_value"]))
+    moved = dearer.withColumn("ts", F.when(one, F.col("ts") + F.expr("INTERVAL 400 DAYS")).otherwise(F.col("ts")).cast(types["ts"]))
+    without = moved.where(F.col("customer_id") != first.customer_id)
+    for state in (events, dearer, moved, without, events):
+        assert features.refresh_feature_view(state, compute, root, "v", 1)
+        assert view_rows(spark, root) == sorted(compute(state).select("customer_id", "ts", *features.FEATURES).collect())
+        assert not features.refresh_feature_view(state, compute, root, "v", 1)
+
+
 def test_a_killed_refresh_changes_nothing(spark, events, monkeypatch):
     root = scratch_path(spark, "view-test")
     features.refresh_feature_view(events.where("ts < '2026-01-20'"), features.feature_table, root, "v", 1)
