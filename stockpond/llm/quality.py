@@ -15,14 +15,13 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
+from stockpond.operators.ordering import global_row_number
 from stockpond.session import materialize
 
-# Bound of the learning sample: labelled rows of each class, taken by a hash of the id.
-SAMPLE = 20_000
-# Partners of each sampled row of the larger class.
+# Partners of each labelled row of the larger class.
 PARTNERS = 3
 # The score at the cut-off.
 CUT = 0.7
@@ -110,7 +109,10 @@ class Ranking:
 
     def score(self, text: Column) -> Column:
         """0 to 1, ``CUT`` at the cut-off; null and empty texts have the features of an empty one."""
-        odds = (self.raw(text_features(text)) - self.cut) / self.unit + float(np.log(CUT / (1 - CUT)))
+        return self.score_of(text_features(text))
+
+    def score_of(self, features: Column) -> Column:
+        odds = (self.raw(features) - self.cut) / self.unit + float(np.log(CUT / (1 - CUT)))
         return 1 / (1 + F.exp(-odds))
 
 
@@ -119,28 +121,47 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % 4 == 2
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """``good`` (boolean), ``place`` (0, 1, … within the class) and ``features`` of at most ``sample`` rows of each class."""
+def described(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``features`` of every row, written once: learning and scoring can share it."""
+    return materialize(docs.select("doc_id", text_features("text").alias("features")), "features")
+
+
+def labelled_rows(features: DataFrame, labels: DataFrame) -> DataFrame:
+    """``good`` (boolean), ``doc_id`` and ``features`` of all labelled rows that are not held out, once for each id and label."""
     known = labels.where(F.col("doc_id").isNotNull() & ~held_out()).select("doc_id", (F.col("quality") == 1).alias("good")).where("good IS NOT NULL").distinct()
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    classes = [known.where(c).orderBy(*order).limit(sample) for c in (F.col("good"), ~F.col("good"))]
-    chosen = materialize(classes[0].unionByName(classes[1]), "label-sample")
-    # At most 2 x sample ids and flags: a bound that does not grow with the data.
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    described = materialize(texts.select("doc_id", "good", text_features("text").alias("features")), "sample-features")
-    rows = described.groupBy("doc_id", "good").agg(F.min("features").alias("features"))
-    place = F.row_number().over(Window.partitionBy("good").orderBy(*order)) - 1
-    return materialize(rows.select("good", place.alias("place"), "features"), "sample-rows")
-
-
-def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ranking:
-    """The ranking learned from ``labels`` (``doc_id``, ``quality`` 0/1) of the rows that are not held out.
-
-    Only ids, labels and texts are read; other columns may have any name. Learning uses a sample
-    of at most ``sample`` rows of each class, the same on every run. Without a row of either class there is
+    rows = features.join(known, "doc_id").groupBy("doc_id", "good").agg(F.min("features").alias("features"))
+    return materialize(rows.select("good", "doc_id", "features"), "labelled-rows")
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``labelled_rows`` of documents with a text; all of them, in spite of the name."""
+    return labelled_rows(described(docs), labels)
+
+
+def quantile(values: DataFrame, n: int, share: float) -> float:
+    """The quantile of the ``n`` values in the column ``raw``, between its two neighbours in the sorted table; ids part equal values."""
+    low = int(share * (n - 1))
+    beside = global_row_number(values.select("raw", "doc_id"), ["raw", F.xxhash64("doc_id")]).where(F.col("row_number").between(low + 1, low + 2))
+    found = sorted(r.raw for r in beside.collect())  # two rows
+    return found[0] + (share * (n - 1) - low) * (found[-1] - found[0])
+
+
+def learn(docs: DataFrame, labels: DataFrame) -> Ranking:
+    """The ranking learned from ``labels`` (``doc_id``, ``quality`` 0/1) of all rows that are not held out.
+
+    Only ids, labels and texts are read; other columns may have any name. Without a row of either class there is
     no pair to learn from: all weights are zero and every text scores ``CUT``.
     """
-    rows = labelled_sample(docs, labels, sample)
+    return learn_described(described(docs), labels)
+
+
+def learn_described(features: DataFrame, labels: DataFrame) -> Ranking:
+    """``learn`` from the written table of ``described``.
+
+    Each row of the larger class meets ``PARTNERS`` rows of the smaller one, dealt in turn along a hash of the id, so that
+    every labelled row is in a pair and the number of pairs grows with the rows, not with their square.
+    """
+    rows = labelled_rows(features, labels)
     spread = [F.stddev_pop(F.element_at("features", i + 1)) for i in range(len(FEATURES))]
     known = rows.agg(F.count_if("good").alias("n_good"), F.count_if(~F.col("good")).alias("n_bad"), F.array(*spread).alias("spread")).first()
     if not known.n_good or not known.n_bad:
@@ -148,10 +169,14 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ranking:
     spread = [s or 1.0 for s in known.spread]
     scaled = rows.withColumn("features", F.zip_with("features", F.array(*map(F.lit, spread)), lambda x, s: x / s))
     more, fewer, n_fewer = ("good", "NOT good", known.n_bad) if known.n_good >= known.n_bad else ("NOT good", "good", known.n_good)
-    left = scaled.where(more).select(
-        "place", F.col("features").alias("x"), F.explode(F.array(*[F.pmod(F.xxhash64("place", F.lit(j)), F.lit(n_fewer)) for j in range(PARTNERS)])).alias("partner")
-    )
-    pairs = left.join(scaled.where(fewer).select(F.col("place").alias("partner"), F.col("features").alias("y")), "partner")
+
+    def placed(which: str, alias: str) -> DataFrame:
+        numbered = global_row_number(scaled.where(which), [F.xxhash64("doc_id"), "doc_id"], "number")
+        return numbered.select((F.col("number") - 1).alias("place"), F.col("features").alias(alias))
+
+    partners = F.array(*[(F.col("place") + j * (n_fewer // PARTNERS)) % n_fewer for j in range(PARTNERS)])
+    left = placed(more, "x").select("place", "x", F.explode(partners).alias("partner"))
+    pairs = left.join(placed(fewer, "y").withColumnRenamed("place", "partner"), "partner")
     better, worse = ("x", "y") if more == "good" else ("y", "x")
     # Every second pair is turned round, so that both outcomes occur; without an intercept the loss stays the same.
     turned = F.col("place") % 2 == 1
@@ -161,10 +186,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ranking:
         training.select("label", array_to_vector("difference").alias("features"))
     )
     weights = tuple(float(w / s) for w, s in zip(fit.coefficients.toArray(), spread))
-    scores = rows.select("good", Ranking(weights, 0.0, 1.0).raw(F.col("features")).alias("raw"))
-    high_bad, low_good = scores.agg(
-        F.percentile(F.when(~F.col("good"), F.col("raw")), 1 - EDGE), F.percentile(F.when(F.col("good"), F.col("raw")), EDGE)
-    ).first()
+    scores = rows.select("good", "doc_id", Ranking(weights, 0.0, 1.0).raw(F.col("features")).alias("raw"))
+    high_bad, low_good = quantile(scores.where("NOT good"), known.n_bad, 1 - EDGE), quantile(scores.where("good"), known.n_good, EDGE)
     return Ranking(weights, (high_bad + low_good) / 2, max(abs(low_good - high_bad) / 8, 1e-6))
 
 

@@ -192,6 +192,31 @@ def test_labels_of_held_out_rows_are_not_learned(spark):
     assert rows == sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in range(40))
 
 
+def test_all_labelled_rows_are_learned(spark):
+    rows = [(i, i % 3 == 0, [float(i % 3 == 0), float(i)] + [0.0] * (len(quality.FEATURES) - 2)) for i in range(41_000) if zlib.crc32(str(i).encode()) % 4 != 2]
+    features = spark.createDataFrame([(i, x) for i, _, x in rows], "doc_id bigint, features array<double>")
+    labels = spark.createDataFrame([(i, int(good)) for i, good, _ in rows], "doc_id bigint, quality int")
+    assert quality.labelled_rows(features, labels).count() == len(rows) > 30_000
+    assert sum(not good for _, good, _ in rows) > 20_000
+    ranking = quality.learn_described(features, labels)
+    raw = {which: sorted(sum(w * v for w, v in zip(ranking.weights, x)) for _, good, x in rows if good == which) for which in (True, False)}
+    edges = np.quantile(raw[True], quality.EDGE), np.quantile(raw[False], 1 - quality.EDGE)
+    assert ranking.cut == pytest.approx(sum(edges) / 2, rel=1e-9) and ranking.weights[0] > 0
+
+
+def test_pairs_of_all_labelled_rows(spark, monkeypatch):
+    seen = []
+    plain = quality.materialize
+    monkeypatch.setattr(quality, "materialize", lambda df, name: seen.append((name, plain(df, name))) or seen[-1][1])
+    docs = spark.createDataFrame([(i, "a1 " * (i + 1)) for i in range(60)], "doc_id bigint, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 4 == 0).cast("int").alias("quality"))
+    quality.learn(docs, labels)
+    tables = dict(seen)
+    n = {r.good: r["count"] for r in tables["labelled-rows"].groupBy("good").count().collect()}
+    assert tables["preferences"].count() == max(n.values()) * quality.PARTNERS
+    assert n[True] + n[False] == sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in range(60))
+
+
 # Shards
 
 
