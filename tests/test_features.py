@@ -18,7 +18,7 @@ from stockpond.operators.keyed_scan import (
 )
 from stockpond.operators.ordering import fixed_sample, global_row_number, global_running_sums, hash_split
 from stockpond.plans import drift, features, forecast, models
-from stockpond.session import scratch_path
+from stockpond.session import materialize, scratch_path
 
 
 def skewed_rows(seed, n=600):
@@ -320,6 +320,32 @@ def test_search(labelled):
     assert models.f1_of(best.transform(labelled), "y").first().f1 == pytest.approx(1.0)
 
 
+def test_forest_sees_rows_only_through_their_marks(spark):
+    rows = spark.range(30_000).select(
+        (F.rand(3) * F.rand(4)).alias("x"), (F.col("id") % 3).cast("int").alias("z"), (F.col("id") % 40).cast("int").alias("k"), "id"
+    )
+    rows = materialize(rows.withColumn("y", (F.col("x") + F.rand(5) / 5 > 0.3).cast("int")), "marked-rows")
+    counted = models.cells(rows, ["x", "z", "k"], "y", 32, F.col("id") % 2)
+    assert counted.agg(F.sum("_n")).first()[0] == 30_000 and counted.select("_x0").distinct().count() <= 32 and counted.select("_x1").distinct().count() == 3
+    packed = models.packets(counted, "y")
+    whole = counted.groupBy("y", "_x0", "_x1", "_x2").agg(F.sum("_n").alias("_n"))
+    assert packed.count() == whole.agg(F.sum(F.least("_n", F.lit(models.PACKETS)))).first()[0] and packed.agg(F.sum("_weight")).first()[0] == 30_000
+    model = models.forest(["x", "z", "k"], "y", trees=5, depth=4).fit(rows)
+    chosen = models.marks(rows.select(F.col("x").alias("_x0")), ["_x0"], 32)["_x0"]
+    moved = model.transform(rows).select("id", "z", "k", F.col("predicted").alias("plain"), models.nearest_mark("x", chosen).alias("x"))
+    assert model.transform(moved).where("plain <> predicted").count() == 0
+    assert models.accuracy(model.transform(rows), "y").first().accuracy > 0.8
+
+
+def test_search_learns_from_counts(spark, monkeypatch):
+    tables, plain = [], models.materialize
+    monkeypatch.setattr(models, "materialize", lambda df, name: tables.append((name, plain(df, name))) or tables[-1][1])
+    rows = spark.range(20_000).select("id", (F.col("id") % 20).cast("double").alias("x"), (F.col("id") % 20 >= 10).cast("int").alias("y"))
+    best, results = models.grid_search(rows, ["x"], "y", ["id"], {"numTrees": [2], "maxDepth": [1, 3]}, folds=2)
+    assert [r.f1 for r in results.collect()] == [1.0, 1.0] and models.accuracy(best.transform(rows), "y").first().accuracy == 1.0
+    assert max(t.count() for name, t in tables if name == "packets") == 20 * models.PACKETS
+
+
 def test_registry(spark, labelled):
     root = scratch_path(spark, "models-test")
     good = models.forest(["x", "z"], "y").fit(labelled)
