@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry_points
 from fixtures import HELP_TEXTS, INVOICE, money
 from stockpond.operators import retrieve
 
@@ -59,6 +60,13 @@ def test_source_filter(spark, questions, docs):
     assert found and all(r.doc_id.startswith("policy") for r in found)
 
 
+def test_recall_scans_the_texts_once(spark, sf_dir, monkeypatch):
+    scans, plain = [], retrieve.matched_tokens
+    monkeypatch.setattr(retrieve, "matched_tokens", lambda *args: scans.append(1) or plain(*args))
+    found = entry_points.queries()["recall_at_k"](spark, sf_dir).collect()
+    assert found and len(scans) == 1
+
+
 def test_vector_settles_equal_words(spark):
     docs = spark.createDataFrame([(1, "green apple", "s"), (2, "green apple", "s")], "doc_id int, text string, source string")
     asked = spark.createDataFrame([(1, "green apple", [0.0, 1.0])], "question_id int, question string, vector array<double>")
