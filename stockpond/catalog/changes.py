@@ -8,7 +8,7 @@ from stockpond.catalog.registry import BRONZE_SQL, LATEST_SQL, PRODUCTS_SQL, pla
 from stockpond.operators import changes, history, kept_history, kept_summary, semi
 from stockpond.operators.changes import ACTION, IS_UPDATE
 from stockpond.plans.jobs import compact_silver, merge_silver, read_silver, refresh_summary_if_changed, run_medallion
-from stockpond.session import materialize, scratch_path
+from stockpond.session import materialize, materialize_by_key, scratch_path
 from stockpond.sources import retail
 from stockpond.sources.tables import read_table
 
@@ -446,7 +446,8 @@ def json_strict(spark, sf_dir):
 def medallion_gold(spark, sf_dir):
     """Two runs and a repeated one: versions of orders that are already known stay outside."""
     root = scratch_path(spark, "medallion")
-    landing = materialize(retail.bronze_orders(spark, sf_dir), "landing")
+    # Every run looks up the known orders among all landing rows; in buckets these are not shuffled again.
+    landing = materialize_by_key(retail.bronze_orders(spark, sf_dir), "landing", "order_id")
     goods = retail.products(spark, sf_dir)
     ties = retail.VERSION_ORDER[1:]
     early = landing.where(F.col("order_ts") < F.lit("1998-01-01").cast("timestamp_ntz"))

@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
-from stockpond.operators.changes import apply_changes, change_feed
+from stockpond.catalog import changes
+from stockpond.operators.changes import apply_changes, change_feed, new_rows
 from stockpond.operators.clean import keep_latest
-from stockpond.session import materialize
+from stockpond.session import materialize, materialize_by_key
 from stockpond.sources import retail
 from stockpond.sources.tables import read_table
 
@@ -101,3 +102,27 @@ def test_equal_ranges_are_left_out_before_the_shuffle(spark, sf_dir):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     sides = text.split("Exchange hashpartitioning(")[1:]
     assert len(sides) == 2 and all("LeftSemi" in side and "BroadcastExchange" in side for side in sides)
+
+
+def test_rows_kept_by_key_are_joined_without_moving_them(spark):
+    rows = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (None, "c"), (3, None)], "order_id bigint, v string")
+    kept = materialize_by_key(rows, "landing", "order_id")
+    assert sorted(map(str, kept.collect())) == sorted(map(str, rows.collect()))
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("landing")]
+    known = spark.createDataFrame([(1,), (1,), (4,)], "order_id bigint")
+    assert sorted(map(str, new_rows(kept, known, ["order_id"]).collect())) == sorted(map(str, rows.where("order_id IS NULL OR order_id <> 1").collect()))
+
+
+def test_medallion_runs_do_not_shuffle_the_landing_table(spark, sf_dir, monkeypatch):
+    landed = []
+    run = changes.run_medallion
+    monkeypatch.setattr(changes, "run_medallion", lambda landing, *rest, **named: landed.append(landing) or run(landing, *rest, **named))
+    entry_points.queries()["medallion_gold"](spark, sf_dir)
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(new_rows(landed[-1], landed[0], ["order_id"]))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    # The one exchange is that of the known keys.
+    assert "LeftAnti" in text and text.count("Exchange hashpartitioning") == 1
