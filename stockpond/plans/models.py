@@ -133,6 +133,16 @@ def forest(features: list[str], label: str, trees: int = 20, depth: int = 6, min
     return CellForest(features, label, classifier)
 
 
+def fit_all(learners: list[CellForest], rows: DataFrame) -> list[PipelineModel]:
+    """The forests as ``fit`` learns them, from one count of the rows; they may differ in parameters of the classifier, but not in what is counted."""
+    counts = {(*f.features, f.label, f.classifier.getMaxBins()) for f in learners}
+    if len(counts) != 1:
+        raise ValueError("the forests need one set of features, one label and one number of bins")
+    first = learners[0]
+    table = packets(cells(rows, first.features, first.label, first.classifier.getMaxBins()), first.label)
+    return [f.fit_packets(table) for f in learners]
+
+
 def accuracy(scored: DataFrame, label: str, prediction: str = "predicted") -> DataFrame:
     return scored.agg(
         F.count("*").alias("rows"), F.avg((F.col(label) == F.col(prediction)).cast("double")).alias("accuracy")

@@ -6,6 +6,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Window, functions as F
 
+from stockpond.catalog import QUERIES
 from stockpond.operators.asof import asof_join, latest_features, leakage_report
 from stockpond.operators.keyed_scan import (
     key_minimum,
@@ -346,6 +347,25 @@ def test_search_learns_from_counts(spark, monkeypatch):
     assert max(t.count() for name, t in tables if name == "packets") == 20 * models.PACKETS
 
 
+def test_forests_from_one_count_are_those_of_their_own_fits(spark, labelled, monkeypatch):
+    learners = [models.forest(["x", "z"], "y", trees=3, depth=4, min_leaf=2), models.forest(["x", "z"], "y", trees=2, depth=3)]
+    apart = [learner.fit(labelled) for learner in learners]
+    counted, cells = [], models.cells
+    monkeypatch.setattr(models, "cells", lambda *rest: counted.append(1) or cells(*rest))
+    together = models.fit_all(learners, labelled)
+    assert len(counted) == 1
+    assert [m.stages[-1].toDebugString.split("\n", 1)[1] for m in together] == [m.stages[-1].toDebugString.split("\n", 1)[1] for m in apart]
+    with pytest.raises(ValueError):
+        models.fit_all([*learners, models.forest(["x"], "y")], labelled)
+
+
+@pytest.mark.parametrize("name", ["batch_scores"])
+def test_queries_of_two_forests_count_once(spark, sf_dir, monkeypatch, name):
+    counted, cells = [], models.cells
+    monkeypatch.setattr(models, "cells", lambda *rest: counted.append(1) or cells(*rest))
+    assert QUERIES[name](spark, sf_dir).count() > 0 and len(counted) == 1
+
+
 def test_registry(spark, labelled):
     root = scratch_path(spark, "models-test")
     good = models.forest(["x", "z"], "y").fit(labelled)
