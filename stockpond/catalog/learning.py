@@ -528,8 +528,8 @@ def forest_as_sql(spark, sf_dir):
 def champion_challenger(spark, sf_dir):
     """The rule on two repeatable predictions, and two forests through the same comparison."""
     train, test = split_rows(spark, sf_dir)
-    champion = models.forest(features.FEATURES, LABEL, trees=10, depth=8, min_leaf=4).fit(train)
-    challenger = models.forest(features.FEATURES, LABEL).fit(train)
+    learners = [models.forest(features.FEATURES, LABEL, trees=10, depth=8, min_leaf=4), models.forest(features.FEATURES, LABEL)]
+    champion, challenger = models.fit_all(learners, train)
     forests = models.champion_challenger(test, champion, challenger, LABEL)
     fixed = test.select(
         LABEL,

@@ -359,7 +359,7 @@ def test_forests_from_one_count_are_those_of_their_own_fits(spark, labelled, mon
         models.fit_all([*learners, models.forest(["x"], "y")], labelled)
 
 
-@pytest.mark.parametrize("name", ["batch_scores"])
+@pytest.mark.parametrize("name", ["batch_scores", "champion_challenger"])
 def test_queries_of_two_forests_count_once(spark, sf_dir, monkeypatch, name):
     counted, cells = [], models.cells
     monkeypatch.setattr(models, "cells", lambda *rest: counted.append(1) or cells(*rest))
